@@ -22,7 +22,7 @@ itself, each of which rounds monotonically, so pruning never loses the answer.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +39,9 @@ from parcelgrid.functions.box import (
     reach,
     total_bounds,
 )
+from parcelgrid.functions.scalar import clip
 from parcelgrid.operators.skew import broadcast_if_small, salted_join
+from parcelgrid.session import materialise
 
 #: Cells per axis grow by this power of two per pyramid step.
 BITS_PER_STEP = 2
@@ -48,10 +50,12 @@ MAX_STEPS = 12
 TARGET_PER_CELL = 8
 TOLERATED_PER_CELL = 64
 
+GROUP_BOX = [f"g_{name}" for name in BOX_FIELDS]
+
 
 @dataclass(frozen=True)
-class Pyramid:
-    """Placement of the grids and the number of boxes on them."""
+class Grid:
+    """Placement of the pyramid's grids and the number of boxes on them."""
 
     x0: float
     y0: float
@@ -59,12 +63,27 @@ class Pyramid:
     steps: int
     n_boxes: int
 
-    @property
-    def finest(self) -> float:
-        return self.side / (1 << BITS_PER_STEP * self.steps)
-
     def index(self, value: Column, origin: float) -> Column:
-        return F.floor((value - F.lit(origin)) / F.lit(self.finest))
+        finest = self.side / (1 << BITS_PER_STEP * self.steps)
+        return F.floor((value - F.lit(origin)) / F.lit(finest))
+
+    def inside(self, index: Column) -> Column:
+        return clip(index, F.lit(0), F.lit((1 << BITS_PER_STEP * self.steps) - 1))
+
+
+@dataclass(frozen=True)
+class BoxPyramid:
+    """Boxes placed on a pyramid of grids: build once, query many times.
+
+    ``items``: one row per distinct box with its home step and home cell.
+    ``cells``: occupied cells per step with the extent of the boxes in them;
+    ``own`` rows cover just the boxes living at that step.
+    Both are written to the shared folder, so a lost executor costs a re-read.
+    """
+
+    grid: Grid
+    items: DataFrame
+    cells: DataFrame
 
 
 def _above(index: Column, steps_up) -> Column:
@@ -85,164 +104,138 @@ def distinct_boxes(boxes: DataFrame, id_col: str, carry: list[str]) -> DataFrame
     """One row per distinct box, that of the lowest id: copies can never win a tie."""
     fields = [F.col(id_col).alias("poly_id"), *(F.col(c) for c in carry)]
     return (
-        boxes.where(F.greatest(*(F.col(f) for f in BOX_FIELDS)).isNotNull())
-        .where(" and ".join(f"{f} is not null" for f in BOX_FIELDS))
+        boxes.where(" and ".join(f"{f} is not null" for f in BOX_FIELDS))
         .groupBy(*BOX_FIELDS)
         .agg(F.min(F.struct(*fields)).alias("item"))
     )
 
 
-def plan_pyramid(boxes: DataFrame) -> Pyramid:
-    """Extent and number of steps, from two aggregates of a bounded number of rows."""
-    b = box()
-    stats = boxes.where(" and ".join(f"{f} is not null" for f in BOX_FIELDS)).agg(
-        F.count(F.lit(1)).alias("n"),
-        *total_bounds(Box(centroid_x(b), centroid_y(b), centroid_x(b), centroid_y(b))),
-    ).first()
-    if stats["n"] == 0:
-        return Pyramid(0.0, 0.0, 1.0, 0, 0)
-    extent = max(stats["maxx"] - stats["minx"], stats["maxy"] - stats["miny"])
-    side = extent * (1 + 1e-9) if extent > 0 else 1.0
-    per_step = 4**BITS_PER_STEP
-    first = max(0, math.ceil(math.log(max(stats["n"] / TARGET_PER_CELL, 1), per_step)))
-    deepest = Pyramid(stats["minx"], stats["miny"], side, MAX_STEPS, stats["n"])
-    steps = min(first, MAX_STEPS)
-    if 0 < steps < MAX_STEPS:
-        # crowded spots need finer cells: the fullest cell of every finer step
-        home = _placed(boxes.select(*BOX_FIELDS).distinct(), deepest)
-        fullest = (
-            home.select("home", "cx", "cy", F.explode(F.sequence(F.lit(steps), F.lit(MAX_STEPS))).alias("step"))
-            .where("home >= step")
-            .groupBy(
-                "step",
-                _above(F.col("cx"), MAX_STEPS - F.col("step")).alias("cx"),
-                _above(F.col("cy"), MAX_STEPS - F.col("step")).alias("cy"),
-            )
-            .count()
-            .groupBy("step")
-            .agg(F.max("count").alias("fullest"))
-            .collect()
-        )
-        too_full = [r["step"] for r in fullest if r["fullest"] > TOLERATED_PER_CELL]
-        steps = min(MAX_STEPS, max([steps, *(s + 1 for s in too_full)]))
-    return Pyramid(stats["minx"], stats["miny"], side, steps, stats["n"])
-
-
-def _placed(items: DataFrame, pyramid: Pyramid) -> DataFrame:
+def _placed(items: DataFrame, grid: Grid) -> DataFrame:
     """Add the finest-grid cell of the centre and the home step."""
     b = box()
-    last = F.lit((1 << BITS_PER_STEP * pyramid.steps) - 1)
-    zero = F.lit(0)
     size = F.greatest(b.maxx - b.minx, b.maxy - b.miny)
-    fits = F.floor(F.log2(F.lit(pyramid.side) / size) / F.lit(float(BITS_PER_STEP)))
+    fits = F.floor(F.log2(F.lit(grid.side) / size) / F.lit(float(BITS_PER_STEP)))
     return items.withColumns(
         {
-            "cx": F.least(F.greatest(pyramid.index(centroid_x(b), pyramid.x0), zero), last),
-            "cy": F.least(F.greatest(pyramid.index(centroid_y(b), pyramid.y0), zero), last),
-            "home": F.when(size > 0, F.least(F.greatest(fits, zero), F.lit(pyramid.steps)))
-            .otherwise(F.lit(pyramid.steps))
+            "cx": grid.inside(grid.index(centroid_x(b), grid.x0)),
+            "cy": grid.inside(grid.index(centroid_y(b), grid.y0)),
+            "home": F.when(size > 0, clip(fits, 0, grid.steps))
+            .otherwise(F.lit(grid.steps))
             .cast("int"),
         }
     )
 
 
-def _cells(placed: DataFrame, step: int, steps: int) -> DataFrame:
-    """Occupied cells of one step with the extent of the boxes living there or below."""
-    return (
-        placed.where(F.col("home") >= step)
-        .groupBy(
-            _above(F.col("cx"), steps - step).alias("ncx"),
-            _above(F.col("cy"), steps - step).alias("ncy"),
-        )
-        .agg(*total_bounds(box(), "n_"))
+def _steps_for(items: DataFrame, grid: Grid) -> int:
+    """Steps until no finest cell is overfull; crowded spots ask for more of them."""
+    per_step = 4**BITS_PER_STEP
+    even = math.ceil(math.log(max(grid.n_boxes / TARGET_PER_CELL, 1), per_step))
+    if not 0 < even < MAX_STEPS:
+        return min(even, MAX_STEPS)
+    up = F.lit(MAX_STEPS) - F.col("step")
+    fullest = (
+        _placed(items, grid)
+        .where(F.col("home") >= even)
+        .select("cx", "cy", F.explode(F.sequence(F.lit(even), F.col("home"))).alias("step"))
+        .groupBy("step", _above(F.col("cx"), up), _above(F.col("cy"), up))
+        .count()
+        .groupBy("step")
+        .agg(F.max("count").alias("fullest"))
+        .collect()  # at most one row per step
     )
+    overfull = [r["step"] for r in fullest if r["fullest"] > TOLERATED_PER_CELL]
+    return min(MAX_STEPS, max([even, *(step + 1 for step in overfull)]))
 
 
-def _residents(placed: DataFrame, step: int, steps: int) -> DataFrame:
-    """The same for boxes whose home is just this step."""
-    return _cells(placed.where(F.col("home") == step), step, steps)
+def build_pyramid(boxes: DataFrame, box_id: str = "field_id", carry: list[str] | None = None) -> BoxPyramid:
+    """Place the boxes; two aggregates decide the grid, nothing else is collected."""
+    items = materialise(distinct_boxes(boxes, box_id, carry or []), "boxes")
+    b = box()
+    centre = Box(centroid_x(b), centroid_y(b), centroid_x(b), centroid_y(b))
+    stats = items.agg(F.count(F.lit(1)).alias("n"), *total_bounds(centre)).first()
+    if stats["n"] == 0:
+        grid = Grid(0.0, 0.0, 1.0, 0, 0)
+    else:
+        extent = max(stats["maxx"] - stats["minx"], stats["maxy"] - stats["miny"])
+        side = extent * (1 + 1e-9) if extent > 0 else 1.0
+        grid = Grid(stats["minx"], stats["miny"], side, MAX_STEPS, stats["n"])
+        grid = replace(grid, steps=_steps_for(items, grid))
+    placed = _placed(items, grid)
+    up = F.lit(grid.steps) - F.col("step")
+    cells = (
+        placed.withColumn("step", F.explode(F.sequence(F.lit(0), F.col("home"))))
+        .withColumn("own", F.explode(F.expr("if(step = home, array(true, false), array(false))")))
+        .groupBy("step", "own", _above(F.col("cx"), up).alias("nx"), _above(F.col("cy"), up).alias("ny"))
+        .agg(*total_bounds(box(), "n_"))
+    )
+    homes = placed.select(
+        F.col("home").alias("step"),
+        _above(F.col("cx"), F.lit(grid.steps) - F.col("home")).alias("nx"),
+        _above(F.col("cy"), F.lit(grid.steps) - F.col("home")).alias("ny"),
+        "item",
+        *BOX_FIELDS,
+    )
+    return BoxPyramid(grid, homes, materialise(cells, "cells"))
 
 
-def _bounded_groups(groups: DataFrame, placed: DataFrame, p: Pyramid) -> DataFrame:
+def _bounded_groups(groups: DataFrame, pyramid: BoxPyramid) -> DataFrame:
     """Add ``ub``: no point of the group is farther than this from its nearest box."""
-    all_cells = (
-        placed.withColumn("step", F.explode(F.sequence(F.lit(0), F.col("home"))))
-        .groupBy(
-            "step",
-            _above(F.col("cx"), p.steps - F.col("step")).alias("ncx"),
-            _above(F.col("cy"), p.steps - F.col("step")).alias("ncy"),
-        )
-        .agg(*total_bounds(box(), "n_"))
+    grid = pyramid.grid
+    cells = broadcast_if_small(
+        pyramid.cells.where("not own").drop("own"), grid.n_boxes * (grid.steps + 1)
     )
-    all_cells = broadcast_if_small(all_cells, p.n_boxes * (p.steps + 1))
-    # a group outside the grid is clamped to its edge cell: any occupied cell gives a bound
-    last = F.lit((1 << BITS_PER_STEP * p.steps) - 1)
-    gx = F.least(F.greatest(F.col("gx"), F.lit(0)), last)
-    gy = F.least(F.greatest(F.col("gy"), F.lit(0)), last)
+    # a group outside the grid takes the edge cell: any occupied cell gives a bound
+    up = F.lit(grid.steps) - F.col("step")
     keyed = groups.withColumn(
-        "step", F.explode(F.sequence(F.lit(0), F.lit(p.steps)))
+        "step", F.explode(F.sequence(F.lit(0), F.lit(grid.steps)))
     ).withColumns(
-        {
-            "ncx": _above(gx, p.steps - F.col("step")),
-            "ncy": _above(gy, p.steps - F.col("step")),
-        }
+        {"nx": _above(grid.inside(F.col("gx")), up), "ny": _above(grid.inside(F.col("gy")), up)}
     )
     return (
-        keyed.join(all_cells, ["step", "ncx", "ncy"])
-        .groupBy("gx", "gy", *(f"g_{f}" for f in BOX_FIELDS))
+        keyed.join(cells, ["step", "nx", "ny"])
+        .groupBy("gx", "gy", *GROUP_BOX)
         .agg(F.min(_farthest(box("g_"), box("n_"))).alias("ub"))
     )
 
 
-def _descend(frontier: DataFrame, placed: DataFrame, step: int, p: Pyramid) -> DataFrame:
-    """Replace each open cell of ``step`` by its children and its resident boxes' extent."""
-    children = _cells(placed, step + 1, p.steps).select(
-        _above(F.col("ncx"), 1).alias("ox"),
-        _above(F.col("ncy"), 1).alias("oy"),
-        F.lit(step + 1).alias("k_step"),
-        F.lit(step + 1 < p.steps).alias("k_open"),
-        "ncx",
-        "ncy",
-        *(f"n_{f}" for f in BOX_FIELDS),
-    )
-    own = _residents(placed, step, p.steps).select(
-        F.col("ncx").alias("ox"),
-        F.col("ncy").alias("oy"),
-        F.lit(step).alias("k_step"),
-        F.lit(False).alias("k_open"),
-        "ncx",
-        "ncy",
+def _descend(frontier: DataFrame, pyramid: BoxPyramid, step: int) -> DataFrame:
+    """Replace each open cell of ``step`` by its children and its own boxes' extent."""
+    grid = pyramid.grid
+    finer = (F.col("step") == step + 1) & ~F.col("own")
+    here = (F.col("step") == step) & F.col("own")
+    kids = pyramid.cells.where(finer | here).select(
+        F.expr(f"shiftright(nx, if(own, 0, {BITS_PER_STEP}))").alias("ox"),
+        F.expr(f"shiftright(ny, if(own, 0, {BITS_PER_STEP}))").alias("oy"),
+        F.col("step").alias("k_step"),
+        (finer & F.lit(step + 1 < grid.steps)).alias("k_open"),
+        F.col("nx").alias("k_nx"),
+        F.col("ny").alias("k_ny"),
         *(f"n_{f}" for f in BOX_FIELDS),
     )
-    kids = broadcast_if_small(
-        children.unionByName(own), min(p.n_boxes, 4 ** (BITS_PER_STEP * (step + 1))) * 2
-    )
+    kids = broadcast_if_small(kids, min(grid.n_boxes, 4 ** (BITS_PER_STEP * (step + 1))) * 2)
     # closed rows have no key to match and pass through the left join unchanged
     met = frontier.join(kids, ["ox", "oy"], "left")
-    low = F.when(F.col("open"), gap(box("g_"), box("n_"))).otherwise(F.col("lo"))
-    high = F.when(F.col("open"), _farthest(box("g_"), box("n_"))).otherwise(F.col("ub"))
-    moved = met.withColumns({"lo": low, "hi": high}).where(F.col("lo") <= F.col("ub")).select(
+    is_open = F.col("ox").isNotNull()
+    low = F.when(is_open, gap(box("g_"), box("n_"))).otherwise(F.col("lo"))
+    high = F.when(is_open, _farthest(box("g_"), box("n_"))).otherwise(F.col("ub"))
+    moved = met.select(
         "gx",
         "gy",
-        *(f"g_{f}" for f in BOX_FIELDS),
-        F.least("ub", "hi").alias("ub"),
-        F.when(F.col("open"), F.col("k_step")).otherwise(F.col("step")).alias("step"),
-        F.when(F.col("open"), F.col("ncx")).otherwise(F.col("nx")).alias("nx"),
-        F.when(F.col("open"), F.col("ncy")).otherwise(F.col("ny")).alias("ny"),
-        F.coalesce(F.col("open") & F.col("k_open"), F.lit(False)).alias("open"),
-        "lo",
-    )
+        *GROUP_BOX,
+        F.least(F.col("ub"), high).alias("ub"),
+        low.alias("lo"),
+        F.when(is_open, F.col("k_step")).otherwise(F.col("step")).alias("step"),
+        F.when(is_open, F.col("k_nx")).otherwise(F.col("nx")).alias("nx"),
+        F.when(is_open, F.col("k_ny")).otherwise(F.col("ny")).alias("ny"),
+        F.when(F.col("k_open"), F.col("k_nx")).alias("ox"),
+        F.when(F.col("k_open"), F.col("k_ny")).alias("oy"),
+        F.col("ub").alias("ub_before"),
+    ).where("lo <= ub_before")
     tight = F.min("ub").over(Window.partitionBy("gx", "gy"))
-    return _with_open_key(moved.withColumn("ub", tight).where(F.col("lo") <= F.col("ub")))
+    return moved.drop("ub_before").withColumn("ub", tight).where("lo <= ub")
 
 
-def _with_open_key(frontier: DataFrame) -> DataFrame:
-    return frontier.withColumns(
-        {"ox": F.when(F.col("open"), F.col("nx")), "oy": F.when(F.col("open"), F.col("ny"))}
-    )
-
-
-def query_groups(points: DataFrame, p: Pyramid) -> DataFrame:
+def query_groups(points: DataFrame) -> DataFrame:
     """One row per occupied finest cell: the extent and number of its points."""
     return (
         points.where("gx is not null and gy is not null")
@@ -257,79 +250,68 @@ def query_groups(points: DataFrame, p: Pyramid) -> DataFrame:
     )
 
 
-def group_candidates(groups: DataFrame, items: DataFrame, p: Pyramid) -> DataFrame:
+def group_candidates(groups: DataFrame, pyramid: BoxPyramid) -> DataFrame:
     """For each group, every box that is nearest to at least one place in it."""
-    placed = _placed(items, p)
-    frontier = _bounded_groups(groups.drop("n"), placed, p).withColumns(
-        {
-            "step": F.lit(0),
-            "nx": F.lit(0).cast("bigint"),
-            "ny": F.lit(0).cast("bigint"),
-            "open": F.lit(p.steps > 0),
-            "lo": F.lit(0.0),
-        }
-    )
-    frontier = _with_open_key(frontier)
-    for step in range(p.steps):
-        frontier = _descend(frontier, placed, step, p)
-    homes = placed.select(
-        F.col("home").alias("step"),
-        _above(F.col("cx"), F.lit(p.steps) - F.col("home")).alias("nx"),
-        _above(F.col("cy"), F.lit(p.steps) - F.col("home")).alias("ny"),
-        "item",
-        *BOX_FIELDS,
-    )
-    homes = broadcast_if_small(homes, p.n_boxes)
+    grid = pyramid.grid
+    root = F.lit(0).cast("bigint") if grid.steps else F.lit(None).cast("bigint")
+    frontier = _bounded_groups(groups.drop("n"), pyramid).selectExpr(
+        "*", "0 as step", "0L as nx", "0L as ny", "0D as lo"
+    ).withColumns({"ox": root, "oy": root})
+    for step in range(grid.steps):
+        frontier = _descend(frontier, pyramid, step)
+    homes = broadcast_if_small(pyramid.items, grid.n_boxes)
     near, far = gap(box("g_"), box()), reach(box("g_"), box())
-    whole_group = Window.partitionBy("gx", "gy")
+    best = F.min("high").over(Window.partitionBy("gx", "gy"))
     return (
-        frontier.select("gx", "gy", *(f"g_{f}" for f in BOX_FIELDS), "ub", "step", "nx", "ny")
+        frontier.select("gx", "gy", *GROUP_BOX, "ub", "step", "nx", "ny")
         .join(homes, ["step", "nx", "ny"])
         .where(near <= F.col("ub"))
-        .withColumns(
-            {
-                "low": F.struct(near.alias("d"), F.col("item.poly_id")),
-                "high": F.struct(far.alias("d"), F.col("item.poly_id")),
-            }
+        .select(
+            "gx",
+            "gy",
+            "item",
+            *BOX_FIELDS,
+            F.struct(near.alias("d"), F.col("item.poly_id")).alias("low"),
+            F.struct(far.alias("d"), F.col("item.poly_id")).alias("high"),
         )
-        .withColumn("best", F.min("high").over(whole_group))
-        .where(F.col("low") <= F.col("best"))
+        .withColumn("best", best)
+        .where("low <= best")
         .select("gx", "gy", "item", *BOX_FIELDS)
     )
 
 
 def nearest_box(
     queries: DataFrame,
-    boxes: DataFrame,
+    boxes: DataFrame | BoxPyramid,
     query_id: str = "query_id",
     box_id: str = "field_id",
     x: str = "x",
     y: str = "y",
     carry: dict[str, str] | None = None,
-    pyramid: Pyramid | None = None,
 ) -> DataFrame:
     """``query_id, nearest_poly_id, distance_m`` and carried box columns.
 
     ``query_id`` must be unique. Every query keeps its row: without any box, or
     without a position, the id is NULL and the distance infinite. ``carry``
-    maps box columns to output names. Pass ``pyramid`` from
-    :func:`plan_pyramid` to reuse it over many query sets.
+    maps box columns to output names. Pass the result of :func:`build_pyramid`
+    in place of the boxes to use it for many query sets.
     """
     carry = carry or {}
-    p = pyramid or plan_pyramid(boxes)
-    items = distinct_boxes(boxes, box_id, list(carry))
+    pyramid = boxes if isinstance(boxes, BoxPyramid) else build_pyramid(boxes, box_id, list(carry))
+    grid = pyramid.grid
     points = queries.select(
-        F.col(query_id).alias("query_id"), F.col(x).alias("x"), F.col(y).alias("y")
-    ).withColumns(
-        {"gx": p.index(F.col("x"), p.x0), "gy": p.index(F.col("y"), p.y0)}
+        F.col(query_id).alias("query_id"),
+        F.col(x).alias("x"),
+        F.col(y).alias("y"),
+        grid.index(F.col(x), grid.x0).alias("gx"),
+        grid.index(F.col(y), grid.y0).alias("gy"),
     )
-    groups = query_groups(points, p)
-    candidates = group_candidates(groups, items, p)
-    pairs = salted_join(points, candidates, ["gx", "gy"], "query_id", "left", groups.select("gx", "gy", "n"))
-    found = F.struct(
-        distance_to_point(box(), F.col("x"), F.col("y")).alias("d"),
-        F.col("item"),
+    groups = query_groups(points)
+    candidates = group_candidates(groups, pyramid)
+    pairs = salted_join(
+        points, candidates, ["gx", "gy"], "query_id", "left", groups.select("gx", "gy", "n")
     )
+    found = F.struct(distance_to_point(box(), F.col("x"), F.col("y")).alias("d"), F.col("item"))
     best = pairs.groupBy("query_id").agg(
         F.min(F.when(F.col("item").isNotNull(), found)).alias("best")
     )
