@@ -380,6 +380,54 @@ def is_valid(rings: Column) -> Column:
     return let(rings, valid)
 
 
+def _properly_cross(p, q) -> Column:
+    """Two segments cross at a point inside both."""
+    ax, ay = p.getField("a").getField("x"), p.getField("a").getField("y")
+    bx, by = p.getField("b").getField("x"), p.getField("b").getField("y")
+    cx, cy = q.getField("a").getField("x"), q.getField("a").getField("y")
+    dx, dy = q.getField("b").getField("x"), q.getField("b").getField("y")
+    return (_turn(ax, ay, bx, by, cx, cy) * _turn(ax, ay, bx, by, dx, dy) < 0) & (
+        _turn(cx, cy, dx, dy, ax, ay) * _turn(cx, cy, dx, dy, bx, by) < 0
+    )
+
+
+def _any_edge_pair(rings: Column, other: Column, test) -> Column:
+    ours = F.flatten(F.transform(rings, edges))
+    theirs = F.flatten(F.transform(other, edges))
+    return let(
+        theirs, lambda qs: F.exists(ours, lambda p: F.exists(qs, lambda q: test(p, q)))
+    )
+
+
+def intersects(rings: Column, other: Column) -> Column:
+    """The closed polygons share a point: outlines touch or one holds the other."""
+
+    def first(g):
+        return F.get(shell(g), F.lit(0))
+
+    return (
+        _any_edge_pair(rings, other, _segments_touch)
+        | contains_point(other, first(rings).getField("x"), first(rings).getField("y"))
+        | contains_point(rings, first(other).getField("x"), first(other).getField("y"))
+    )
+
+
+def within(rings: Column, window: Column) -> Column:
+    """Every vertex and edge middle lies in the window and no edges cross."""
+
+    def edge_inside(e):
+        a, b = e.getField("a"), e.getField("b")
+        mid_x = (a.getField("x") + b.getField("x")) / F.lit(2.0)
+        mid_y = (a.getField("y") + b.getField("y")) / F.lit(2.0)
+        return contains_point(window, a.getField("x"), a.getField("y")) & contains_point(
+            window, mid_x, mid_y
+        )
+
+    return F.forall(edges(shell(rings)), edge_inside) & ~_any_edge_pair(
+        rings, window, _properly_cross
+    )
+
+
 def _mean_clamped(p: Column, q: Column, low: Column, high: Column) -> Column:
     """Mean of ``u`` limited to [low, high] while u runs evenly from p to q."""
     lo, hi = F.least(p, q), F.greatest(p, q)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from parcelgrid.functions.box import box, total_bounds
 
@@ -50,28 +51,11 @@ def numbered(df: DataFrame, name: str = "row_number") -> DataFrame:
     """
     marked = df.withColumn("__at", F.monotonically_increasing_id())
     part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
-    starts = (
-        marked.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
-        .agg(F.array_sort(F.collect_list(F.struct("__part", "__n"))).alias("parts"))
-        .select(
-            F.explode(
-                F.transform(
-                    "parts",
-                    lambda p: F.struct(
-                        p.getField("__part").alias("__part"),
-                        F.aggregate(
-                            "parts",
-                            F.lit(0).cast("bigint"),
-                            lambda acc, o: acc
-                            + F.when(
-                                o.getField("__part") < p.getField("__part"), o.getField("__n")
-                            ).otherwise(F.lit(0).cast("bigint")),
-                        ).alias("__start"),
-                    ),
-                )
-            ).alias("s")
-        )
-        .select("s.*")
+    counts = marked.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    # one row per scan partition: small enough for one task
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
     )
     return (
         marked.withColumns({"__part": part, "__place": place})
