@@ -84,12 +84,13 @@ def compactness(area_col: Column, length_col: Column) -> Column:
 
 
 def distance_to_point(b: Box, x, y) -> Column:
-    """0 on or inside the box, else the distance to its boundary."""
+    """0 on or inside the box, else the distance to its boundary; NULL without a box."""
     x, y = lit_double(x), lit_double(y)
     zero = F.lit(0.0)
     dx = F.greatest(b.minx - x, zero, x - b.maxx)
     dy = F.greatest(b.miny - y, zero, y - b.maxy)
-    return F.sqrt(dx * dx + dy * dy)
+    # greatest() passes over NULLs, so a missing box has to be kept apart
+    return F.when(b.minx.isNotNull() & x.isNotNull(), F.sqrt(dx * dx + dy * dy))
 
 
 def gap(a: Box, b: Box) -> Column:
@@ -150,7 +151,8 @@ def overlap(a: Box, b: Box) -> Box:
 def overlap_area(a: Box, b: Box) -> Column:
     common = overlap(a, b)
     zero = F.lit(0.0)
-    return F.greatest(width(common), zero) * F.greatest(height(common), zero)
+    shared = F.greatest(width(common), zero) * F.greatest(height(common), zero)
+    return F.when(a.minx.isNotNull() & b.minx.isNotNull(), shared)
 
 
 def expand(b: Box, by) -> Box:

@@ -9,8 +9,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from parcelgrid.functions.ring import RINGS_TYPE
+_VERTEX_TYPE = T.StructType().add("x", T.DoubleType()).add("y", T.DoubleType())
+_RINGS_TYPE = T.ArrayType(T.ArrayType(_VERTEX_TYPE))
 
 # Geometry codes and field sizes of the binary format.
 POINT, POLYGON = 1, 3
@@ -156,21 +158,21 @@ def decode_points(column: pa.Array) -> pa.Array:
     )
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def wkb_of_polygon(rings: pa.Array) -> pa.Array:
     return encode_polygons(rings)
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def wkb_of_point(x: pa.Array, y: pa.Array) -> pa.Array:
     return encode_points(x, y)
 
 
-@F.arrow_udf(RINGS_TYPE)
+@F.arrow_udf(_RINGS_TYPE)
 def polygon_of_wkb(data: pa.Array) -> pa.Array:
     return decode_polygons(data)
 
 
-@F.arrow_udf("struct<x:double,y:double>")
+@F.arrow_udf(_VERTEX_TYPE)
 def point_of_wkb(data: pa.Array) -> pa.Array:
     return decode_points(data)

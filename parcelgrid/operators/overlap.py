@@ -118,9 +118,9 @@ def join_points_boxes(
     ``semi`` (points with a match) or ``anti`` (points without one).
     """
     pairs = cell_pairs(points, boxes, reach, point_id, x, y)
+    hits = pairs.where(F.col("minx").isNotNull() & matches)
     if how == "inner":
-        return pairs.where(matches)
-    hits = pairs.where(matches)
+        return hits
     if how == "left":
         return points.join(
             hits.select(point_id, *boxes.columns), point_id, "left"

@@ -15,8 +15,9 @@ from parcelgrid.functions.crs import WGS84
 from parcelgrid.functions.ring import bounds_struct
 from parcelgrid.functions.wkt import coordinates_of_polygon, polygon_of_coordinates, tagged
 
-# How a compact writer starts a feature, and the geometry members.
+# How a feature starts as text, spaced and unspaced, and its geometry.
 FEATURE_PREFIX = '{"type": "Feature", '
+OWN_PREFIX = '{"type":"Feature",'
 _COORDINATES = {"polygon": "array<array<array<double>>>", "point": "array<double>"}
 
 
@@ -32,7 +33,8 @@ def feature_schema(properties: T.StructType | str, geometry: str = "polygon") ->
     )
 
 
-def _decoded(features: DataFrame, srid: int, geometry: str) -> DataFrame:
+def decoded(features: DataFrame, srid: int, geometry: str) -> DataFrame:
+    """Attributes and geometry columns of parsed features in column ``f``."""
     attributes = features.schema["f"].dataType["properties"].dataType.names
     kept = [F.col(f"f.properties.{name}").alias(name) for name in attributes]
     coordinates = F.col("f.geometry.coordinates")
@@ -53,8 +55,8 @@ def _parsed(text: Column, schema: T.StructType) -> Column:
     return F.from_json(text, schema, {"mode": "FAILFAST"}).alias("f")
 
 
-def split_features(lines: DataFrame, schema: T.StructType, prefix: str) -> DataFrame:
-    """Features from text split at ``prefix``; what precedes the first is dropped.
+def split_features(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Features from text split at their common prefix; what precedes the first is dropped.
 
     The parser stops at the end of each feature, so the separators and the
     closing brackets after it need no trimming.
@@ -84,7 +86,7 @@ def read_geojson(
     schema = feature_schema(properties, geometry)
     if layout == "collection":
         lines = spark.read.option("lineSep", prefix).text(path)
-        features = split_features(lines, schema, prefix)
+        features = split_features(lines, schema)
     elif layout == "lines":
         lines = spark.read.text(path)
         is_feature = F.col("value").rlike(r'^\s*\{\s*"type"\s*:\s*"Feature"\s*[,}]')
@@ -97,7 +99,7 @@ def read_geojson(
         )
     else:
         raise ValueError(f"unknown layout {layout}")
-    return _decoded(features, srid, geometry)
+    return decoded(features, srid, geometry)
 
 
 def feature_text(feature_id: Column, properties: list[str], coordinates: Column, kind: str = "Polygon") -> Column:
