@@ -160,49 +160,91 @@ def length(rings: Column) -> Column:
     return _sum_rings(rings, ring_length)
 
 
-def _moment(ring: Column, axis: str) -> Column:
-    """First moment of a ring's area about its first vertex, times its orientation sign."""
+def _moments(ring: Column) -> Column:
+    """(area, x moment, y moment) about the first vertex, unsigned, in one pass."""
 
-    first = F.get(ring, F.lit(0))
-    ox, oy = first.getField("x"), first.getField("y")
+    def about_first(r):
+        first = F.get(r, F.lit(0))
+        ox, oy = first.getField("x"), first.getField("y")
+        zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
+
+        def add(acc, e):
+            ax, ay = e.getField("a").getField("x") - ox, e.getField("a").getField("y") - oy
+            bx, by = e.getField("b").getField("x") - ox, e.getField("b").getField("y") - oy
+            cross = ax * by - bx * ay
+            return F.struct(
+                (acc.getField("a") + cross).alias("a"),
+                (acc.getField("mx") + cross * (ax + bx)).alias("mx"),
+                (acc.getField("my") + cross * (ay + by)).alias("my"),
+            )
 
-    def term(ax, ay, bx, by):
-        cross = (ax - ox) * (by - oy) - (bx - ox) * (ay - oy)
-        return cross * ((ax - ox + bx - ox) if axis == "x" else (ay - oy + by - oy))
+        def absolute(m):
+            size = F.abs(m.getField("a")) / F.lit(2.0)
+            sign = F.signum(m.getField("a")) / F.lit(6.0)
+            return F.struct(
+                size.alias("a"),
+                (size * ox + sign * m.getField("mx")).alias("mx"),
+                (size * oy + sign * m.getField("my")).alias("my"),
+            )
 
-    return _fold(ring, term) / F.lit(6.0)
+        return F.aggregate(edges(r), zero, add, absolute)
 
+    return let(ring, about_first)
 
-def _centroid_axis(rings: Column, axis: str) -> Column:
-    def ring_part(r):
-        # area-weighted position of one ring: |A|·first vertex + sign(A)·moment
-        signed = signed_ring_area(r)
-        return F.abs(signed) * F.get(r, F.lit(0)).getField(axis) + F.signum(signed) * _moment(r, axis)
 
-    def edge_mid(ax, ay, bx, by):
-        seg = F.sqrt((bx - ax) * (bx - ax) + (by - ay) * (by - ay))
-        mid = (ax + bx) / F.lit(2.0) if axis == "x" else (ay + by) / F.lit(2.0)
-        return seg * mid
+def centroid(rings: Column) -> Column:
+    """Area-weighted centre ``STRUCT<x, y>``, holes taken off.
+
+    Without area the shell counts by length, and a single place is its own centre.
+    """
+
+    def line_centre(g):
+        def mid(axis):
+            def term(ax, ay, bx, by):
+                seg = F.sqrt((bx - ax) * (bx - ax) + (by - ay) * (by - ay))
+                return seg * ((ax + bx) if axis == "x" else (ay + by)) / F.lit(2.0)
+
+            return term
 
-    def centre(g):
-        weighted = ring_part(shell(g)) - _sum_rings(holes(g), ring_part)
         along = ring_length(shell(g))
-        return (
-            F.when(area(g) > 0, weighted / area(g))
-            .when(along > 0, _fold(shell(g), edge_mid) / along)
-            .otherwise(F.get(shell(g), F.lit(0)).getField(axis))
+        first = F.get(shell(g), F.lit(0))
+        return F.when(
+            along > 0,
+            vertex(_fold(shell(g), mid("x")) / along, _fold(shell(g), mid("y")) / along),
+        ).otherwise(first)
+
+    def balanced(g):
+        parts = F.transform(g, _moments)
+
+        def total(ms, field):
+            outer = F.get(ms, F.lit(0)).getField(field)
+            return outer - F.aggregate(
+                F.slice(ms, F.lit(2), F.greatest(F.size(ms) - 1, F.lit(0))),
+                F.lit(0.0),
+                lambda acc, m: acc + m.getField(field),
+            )
+
+        sums = let(
+            parts,
+            lambda ms: F.struct(*(total(ms, f).alias(f) for f in ("a", "mx", "my"))),
+        )
+        return let(
+            sums,
+            lambda t: F.when(
+                t.getField("a") > 0,
+                vertex(t.getField("mx") / t.getField("a"), t.getField("my") / t.getField("a")),
+            ).otherwise(line_centre(g)),
         )
 
-    return let(rings, centre)
+    return let(rings, balanced)
 
 
 def centroid_x(rings: Column) -> Column:
-    """Area-weighted centre; by length for zero area, the vertex for a single point."""
-    return _centroid_axis(rings, "x")
+    return centroid(rings).getField("x")
 
 
 def centroid_y(rings: Column) -> Column:
-    return _centroid_axis(rings, "y")
+    return centroid(rings).getField("y")
 
 
 def _on_segment_distance2(ax, ay, bx, by, x, y) -> Column:
@@ -484,30 +526,49 @@ def buffer_point_area(radius: float) -> float:
     return n / 2 * math.sin(2 * math.pi / n) * radius * radius
 
 
-def buffer_point_clipped_area(x, y, radius: float, b: Box) -> Column:
-    """Area of (buffered point ∩ box).
+class BufferOutline:
+    """Closed forms for the polygon that stands for a round buffer.
 
-    Two cheap exact cases come first (the box covers the buffer's square; the
-    box's corners all lie within the 64-gon's inner circle); only boxes cut by
-    the outline pay for the edge sum. Coordinates are taken relative to the
-    point, so precision does not fall with distance from the origin.
+    The outline is symmetric about both axes, so its overlap with a box is the
+    signed sum of four rectangles from the centre to the box's corners. A
+    rectangle whose corner lies inside the outline counts whole; otherwise it
+    is the quarter outline less the tails beyond the corner's x and its y.
     """
-    x, y = lit_double(x), lit_double(y)
-    near = Box(b.minx - x, b.miny - y, b.maxx - x, b.maxy - y)
-    r = F.lit(float(radius))
-    inner = F.lit(radius * math.cos(math.pi / (4 * QUADRANT_SEGMENTS)))
-    far_x = F.greatest(F.abs(near.minx), F.abs(near.maxx))
-    far_y = F.greatest(F.abs(near.miny), F.abs(near.maxy))
-    covers = (near.minx <= -r) & (near.miny <= -r) & (near.maxx >= r) & (near.maxy >= r)
-    inside = far_x * far_x + far_y * far_y <= inner * inner
-    outline = F.array(*(vertex(dx, dy) for dx, dy in regular_offsets(radius)))
-    apart = (near.minx >= r) | (near.miny >= r) | (near.maxx <= -r) | (near.maxy <= -r)
-    return (
-        F.when(apart, F.lit(0.0))
-        .when(covers, F.lit(buffer_point_area(radius)))
-        .when(inside, (near.maxx - near.minx) * (near.maxy - near.miny))
-        .otherwise(clipped_ring_area(outline, near))
-    )
+
+    def __init__(self, radius: float):
+        delta = 2 * math.pi / (4 * QUADRANT_SEGMENTS)
+        self.radius, self.step = F.lit(float(radius)), F.lit(delta)
+        self.wedge = F.lit(radius * radius * math.sin(delta) / 2)
+        self.quarter = F.lit(QUADRANT_SEGMENTS * (radius * radius * math.sin(delta) / 2))
+        self.inner = F.lit(radius * math.cos(delta / 2))
+
+    def clipped(self, side: Column) -> Column:
+        """Distance of a box side from the centre line, at most the radius."""
+        return F.when(side.isNotNull(), F.least(F.abs(side), self.radius))
+
+    def piece(self, a: Column) -> Column:
+        """Number of the outline's edge above ``a``, counted from the x axis."""
+        k = F.floor(F.acos(a / self.radius) / self.step)
+        return F.when(a.isNotNull(), F.least(k, F.lit(QUADRANT_SEGMENTS - 1)))
+
+    def height(self, a: Column, k: Column) -> Column:
+        """Height of the outline above ``a``."""
+        middle = (k + 0.5) * self.step
+        return (self.inner - a * F.cos(middle)) / F.sin(middle)
+
+    def tail(self, a: Column, k: Column, h: Column) -> Column:
+        """Area of the quarter outline beyond ``a``."""
+        start = k * self.step
+        last = self.radius * (F.cos(start) * h - F.sin(start) * a)
+        return k * self.wedge + (last - a * h) / F.lit(2.0)
+
+    def corner(self, a, h_a, t_a, c, h_c, t_c) -> Column:
+        """Overlap with the rectangle from the centre to (a, c)."""
+        return F.when(a <= h_c, a * c).otherwise(self.quarter - t_a - t_c)
+
+    def missed(self, x0, y0, x1, y1) -> Column:
+        r = self.radius
+        return (x0 >= r) | (y0 >= r) | (x1 <= -r) | (y1 <= -r)
 
 
 def _ccw(ring: Column) -> Column:

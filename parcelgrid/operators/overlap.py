@@ -27,7 +27,7 @@ from parcelgrid.functions.box import (
     intersects,
     strictly_contains_point,
 )
-from parcelgrid.operators.skew import BROADCAST_ROWS, salted_join
+from parcelgrid.operators.skew import BROADCAST_ROWS, keyed_join, salted_join
 
 #: Levels are kept two powers of two apart: few lookups per point.
 LEVEL_STRIDE = 2
@@ -36,6 +36,9 @@ HIGHEST_LEVEL = 40
 
 CELL = ["level", "cx", "cy"]
 
+#: Cells a box can touch on its own level: its reach is at most two cells wide.
+MOST_CELLS = 9
+
 
 def _level(b: Box, reach: float) -> Column:
     """The level whose cells are no smaller than the box and the reach."""
@@ -77,18 +80,20 @@ def listed_boxes(boxes: DataFrame, reach: float) -> DataFrame:
 def cell_pairs(
     points: DataFrame,
     boxes: DataFrame,
+    matches: Column,
     reach: float = 0.0,
     point_id: str = "query_id",
     x: str = "x",
     y: str = "y",
+    how: str = "inner",
 ) -> DataFrame:
-    """Every point, repeated per level, left-joined with the boxes of its cell.
+    """Points with the boxes of their cell that satisfy ``matches``.
 
-    Boxes within ``reach`` of the point are all among its partners; partners
-    farther off still have to be dropped, and a row without partner has NULL
-    box columns. Points and boxes must not share column names. A counted small
-    box table is broadcast; beyond that the join shuffles on the cell, with
-    crowded cells dealt out over several tasks.
+    ``matches`` must imply that the box is within ``reach`` of the point. With
+    ``how="left"`` every point has at least one row, and may have several with
+    NULL box columns. Points and boxes must not share column names. A counted
+    small box table is broadcast; beyond that the join shuffles on the cell,
+    with crowded cells dealt out over several tasks.
     """
     known = boxes.where(" and ".join(f"{f} is not null" for f in BOX_FIELDS))
     levels, n_boxes = levels_in_use(known, reach)
@@ -97,9 +102,9 @@ def cell_pairs(
     placed = points.withColumn("level", F.explode(wanted)).withColumns(
         {"cx": _cell(F.col(x), F.col("level")), "cy": _cell(F.col(y), F.col("level"))}
     )
-    if n_boxes * 9 <= BROADCAST_ROWS:
-        return placed.join(F.broadcast(listed), CELL, "left").drop(*CELL)
-    return salted_join(placed, listed, CELL, point_id, "left").drop(*CELL)
+    if n_boxes * MOST_CELLS <= BROADCAST_ROWS:
+        return keyed_join(placed, F.broadcast(listed), CELL, how, matches).drop(*CELL)
+    return salted_join(placed, listed, CELL, point_id, how, condition=matches).drop(*CELL)
 
 
 def join_points_boxes(
@@ -117,14 +122,11 @@ def join_points_boxes(
     ``how`` is ``inner`` (pairs), ``left`` (pairs, unmatched points kept once),
     ``semi`` (points with a match) or ``anti`` (points without one).
     """
-    pairs = cell_pairs(points, boxes, reach, point_id, x, y)
-    hits = pairs.where(F.col("minx").isNotNull() & matches)
+    hits = cell_pairs(points, boxes, matches, reach, point_id, x, y)
     if how == "inner":
         return hits
     if how == "left":
-        return points.join(
-            hits.select(point_id, *boxes.columns), point_id, "left"
-        )
+        return points.join(hits.select(point_id, *boxes.columns), point_id, "left")
     if how in ("semi", "anti"):
         return points.join(hits.select(point_id).distinct(), point_id, f"left_{how}")
     raise ValueError(f"unknown join type {how}")
@@ -170,13 +172,43 @@ def candidate_counts(
     )
     # copies of one spot count together
     counted = as_spots.groupBy(*BOX_FIELDS).agg(F.count(F.lit(1)).alias("copies"))
-    pairs = cell_pairs(points.select(point_id, x, y), counted, radius, point_id, x, y)
     hit = strictly_contains_point(around_point(F.col(x), F.col(y), radius), F.col("minx"), F.col("miny"))
+    pairs = cell_pairs(points.select(point_id, x, y), counted, hit, radius, point_id, x, y, "left")
     return pairs.groupBy(point_id).agg(
-        F.coalesce(F.sum(F.when(hit, F.col("copies"))), F.lit(0)).cast("bigint").alias("n_candidates")
+        F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("n_candidates")
     )
 
 
+def with_buffer_overlap(pairs: DataFrame, x: str, y: str, radius: float, name: str) -> DataFrame:
+    """Add the area each pair's round buffer and box share.
+
+    One projection per step of the closed form: every intermediate is computed
+    once per row, and each piece of generated code stays small enough to be
+    compiled to machine code.
+    """
+    outline = R.BufferOutline(radius)
+    sides = {"x0": ("minx", x), "x1": ("maxx", x), "y0": ("miny", y), "y1": ("maxy", y)}
+    staged = pairs.withColumns({f"s_{k}": F.col(side) - F.col(c) for k, (side, c) in sides.items()})
+    staged = staged.withColumns({f"a_{k}": outline.clipped(F.col(f"s_{k}")) for k in sides})
+    staged = staged.withColumns({f"k_{k}": outline.piece(F.col(f"a_{k}")) for k in sides})
+    staged = staged.withColumns(
+        {f"h_{k}": outline.height(F.col(f"a_{k}"), F.col(f"k_{k}")) for k in sides}
+    )
+    staged = staged.withColumns(
+        {f"t_{k}": outline.tail(*(F.col(f"{p}_{k}") for p in "akh")) for k in sides}
+    )
+
+    def corner(u, v):
+        size = outline.corner(*(F.col(f"{p}_{k}") for k in (u, v) for p in "aht"))
+        return F.signum(f"s_{u}") * F.signum(f"s_{v}") * size
+
+    shared = corner("x1", "y1") - corner("x0", "y1") - corner("x1", "y0") + corner("x0", "y0")
+    missed = outline.missed(*(F.col(f"s_{k}") for k in ("x0", "y0", "x1", "y1")))
+    # rounding may leave a trace below 0 where only a tip is touched
+    area = F.when(missed, F.lit(0.0)).when(F.col("s_x0").isNotNull(), F.greatest(shared, F.lit(0.0)))
+    return staged.withColumn(name, area).select(*pairs.columns, name)
+
+
 def covered_area(
     points: DataFrame,
     boxes: DataFrame,
@@ -196,12 +228,11 @@ def covered_area(
     copies = (
         boxes.select(*BOX_FIELDS).groupBy(*BOX_FIELDS).agg(F.count(F.lit(1)).alias("copies"))
     )
-    pairs = cell_pairs(points.select(point_id, x, y), copies, radius, point_id, x, y)
-    px, py = F.col(x), F.col(y)
-    in_reach = intersects(box(), around_point(px, py, radius))
-    shared = R.buffer_point_clipped_area(px, py, radius, box()) * F.col("copies")
-    return pairs.groupBy(point_id).agg(
-        F.coalesce(F.sum(F.when(in_reach, shared)), F.lit(0.0)).alias(name)
+    in_reach = intersects(box(), around_point(F.col(x), F.col(y), radius))
+    pairs = cell_pairs(points.select(point_id, x, y), copies, in_reach, radius, point_id, x, y, "left")
+    shared = with_buffer_overlap(pairs, x, y, radius, "shared_m2")
+    return shared.groupBy(point_id).agg(
+        F.coalesce(F.sum(F.col("shared_m2") * F.col("copies")), F.lit(0.0)).alias(name)
     )
 
 

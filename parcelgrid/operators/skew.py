@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of one key that a single task may take before the key is split.
@@ -33,6 +35,17 @@ def hot_keys(key_counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
     ).select(*keys, F.ceil(F.col(n) / F.lit(float(ROWS_PER_TASK))).cast("int").alias("salts"))
 
 
+def keyed_join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, condition: Column | None = None
+) -> DataFrame:
+    """Equi-join on ``keys`` plus an extra condition; the right keys are dropped."""
+    renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in keys])
+    if condition is not None:
+        on = on & condition
+    return left.join(renamed, on, how).drop(*(f"__{k}" for k in keys))
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -40,6 +53,7 @@ def salted_join(
     spread_by: str,
     how: str = "left",
     key_counts: DataFrame | None = None,
+    condition: Column | None = None,
 ) -> DataFrame:
     """Join on ``keys``; rows of a hot left key are dealt out over several tasks.
 
@@ -60,4 +74,6 @@ def salted_join(
     repeated = right.join(hot, keys, "left").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1))
     )
-    return dealt.drop("salts").join(repeated.drop("salts"), [*keys, "salt"], how).drop("salt")
+    return keyed_join(
+        dealt.drop("salts"), repeated.drop("salts"), [*keys, "salt"], how, condition
+    ).drop("salt")

@@ -9,6 +9,7 @@ from parcelgrid.functions import crs
 from parcelgrid.functions import ring as R
 from parcelgrid.functions.box import box_of, centroid_x, centroid_y
 from parcelgrid.operators.overlap import points_in_boxes
+from parcelgrid.session import materialise
 from parcelgrid.sources.lake import write_lake
 
 #: Fixed value: smallest field kept, in hectares.
@@ -26,9 +27,19 @@ def keep_large_fields(features: DataFrame, target: int, min_area_ha: float = MIN
 
 
 def split_valid(features: DataFrame, geom: str = "geom") -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) by geometry; rows without a geometry are rejected."""
-    ok = F.coalesce(R.is_valid(F.col(f"{geom}.rings")), F.lit(False))
-    return features.where(ok), features.where(~ok)
+    """(valid, rejected) by geometry; rows without a geometry are rejected.
+
+    The verdict is written once: testing costs more than reading it back, and
+    both parts, and whatever reads them twice, share it.
+    """
+    rings = F.col(f"{geom}.rings")
+    staged = materialise(
+        features.withColumns(
+            {"is_valid": F.coalesce(R.is_valid(rings), F.lit(False)), "bbox": R.bounds_struct(rings)}
+        ),
+        "validated",
+    )
+    return staged.where("is_valid").drop("is_valid"), staged.where("not is_valid").drop("is_valid", "bbox")
 
 
 def enrich_with_zone(fields: DataFrame, zones: DataFrame, field_id: str = "field_id") -> DataFrame:
@@ -63,7 +74,6 @@ def lake_load(
         combined = combined.unionByName(other, allowMissingColumns=True)
     moved = crs.harmonise_rings(combined, target)
     valid, rejected = split_valid(moved)
-    valid = valid.withColumn("bbox", R.bounds_struct(F.col("geom.rings")))
     enriched = enrich_with_zone(valid, zones).withColumn("area_m2", R.area(F.col("geom.rings")))
     write_lake(enriched.withColumns(metrics or {}), path, partition_by, cell_size)
     if rejected_path:

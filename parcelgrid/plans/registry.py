@@ -116,12 +116,13 @@ def geom_scalars_box(spark, sf_dir):
 )
 def ring_area_length(spark, sf_dir):
     rings = F.col("geom.rings")
-    return fields_with_rings(spark, sf_dir, "fields_m", UTM_11N).select(
+    framed = fields_with_rings(spark, sf_dir, "fields_m", UTM_11N)
+    return framed.withColumn("centre", R.centroid(rings)).select(
         "field_id",
         R.area(rings).alias("area_m2"),
         R.length(rings).alias("perimeter_m"),
-        R.centroid_x(rings).alias("centroid_x"),
-        R.centroid_y(rings).alias("centroid_y"),
+        F.col("centre.x").alias("centroid_x"),
+        F.col("centre.y").alias("centroid_y"),
         F.size(R.xs(R.shell(rings))).alias("n_vertices"),
     )
 
