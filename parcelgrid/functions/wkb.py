@@ -25,6 +25,8 @@ def _starts(sizes: np.ndarray) -> np.ndarray:
 
 def _put(out: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
     """Write the bytes of each value at its own offset."""
+    if len(at) == 0:
+        return
     raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(at), -1)
     out[at[:, None] + np.arange(raw.shape[1])] = raw
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 #: Rows of one key that a single task may take before the key is split.
 ROWS_PER_TASK = 1_000_000
 
-#: A key is only split above this share of all rows, so at most 10,000 keys are hot.
-HOT_SHARE = 1e-4
+#: Only the largest keys are split; any key beyond them holds under 1/10,000 of the rows.
+MAX_HOT_KEYS = 10_000
 
 #: Largest side, in rows, that is broadcast. Callers pass a counted row bound;
 #: rows are narrow (tens of bytes), so this stays within a few tens of MB.
@@ -24,15 +24,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def hot_keys(key_counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
-    """Keys to split, with ``salts`` pieces each; at most ``1 / HOT_SHARE`` rows.
+    """Keys to split, with ``salts`` pieces each; at most ``MAX_HOT_KEYS`` rows.
 
-    ``key_counts`` has one row per key and its row count. The share is taken
-    against the total in the same plan, so no count reaches the driver.
+    ``key_counts`` has one row per key and its row count. Ties are ordered by
+    key, so every evaluation names the same keys.
     """
-    total = key_counts.agg((F.sum(n) * HOT_SHARE).alias("floor")).scalar()
-    return key_counts.where(
-        F.col(n) > F.greatest(F.lit(float(ROWS_PER_TASK)), F.coalesce(total, F.lit(0.0)))
-    ).select(*keys, F.ceil(F.col(n) / F.lit(float(ROWS_PER_TASK))).cast("int").alias("salts"))
+    return (
+        key_counts.where(F.col(n) > ROWS_PER_TASK)
+        .orderBy(F.desc(n), *keys)
+        .limit(MAX_HOT_KEYS)
+        .select(*keys, F.ceil(F.col(n) / F.lit(float(ROWS_PER_TASK))).cast("int").alias("salts"))
+    )
 
 
 def keyed_join(
