@@ -18,7 +18,9 @@ def local_session(cpus: int | str = "*", app: str = "parcelgrid", **conf: str) -
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         # small inputs with much work per byte still use every local core
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        # call-site capture costs more than the planning itself for long expressions
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
