@@ -253,10 +253,14 @@ def query_groups(points: DataFrame) -> DataFrame:
 def group_candidates(groups: DataFrame, pyramid: BoxPyramid) -> DataFrame:
     """For each group, every box that is nearest to at least one place in it."""
     grid = pyramid.grid
-    root = F.lit(0).cast("bigint") if grid.steps else F.lit(None).cast("bigint")
+    # the top cell of every group, computed so that the first step is an equi-join too
+    top_x, top_y = (_above(grid.inside(F.col(c)), grid.steps) for c in ("gx", "gy"))
     frontier = _bounded_groups(groups.drop("n"), pyramid).selectExpr(
-        "*", "0 as step", "0L as nx", "0L as ny", "0D as lo"
-    ).withColumns({"ox": root, "oy": root})
+        "*", "0 as step", "0D as lo"
+    ).withColumns({"nx": top_x, "ny": top_y})
+    frontier = frontier.withColumns(
+        {c: F.col(n) if grid.steps else F.lit(None).cast("bigint") for c, n in (("ox", "nx"), ("oy", "ny"))}
+    )
     for step in range(grid.steps):
         frontier = _descend(frontier, pyramid, step)
     homes = broadcast_if_small(pyramid.items, grid.n_boxes)
