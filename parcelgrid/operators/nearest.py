@@ -310,7 +310,8 @@ def nearest_box(
         grid.index(F.col(x), grid.x0).alias("gx"),
         grid.index(F.col(y), grid.y0).alias("gy"),
     )
-    groups = query_groups(points)
+    # used twice below; written once, so the points are not read and grouped again
+    groups = materialise(query_groups(points), "groups")
     candidates = group_candidates(groups, pyramid)
     pairs = salted_join(
         points, candidates, ["gx", "gy"], "query_id", "left", groups.select("gx", "gy", "n")

@@ -11,6 +11,7 @@ none have to be removed.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from parcelgrid.functions.box import (
     strictly_contains_point,
 )
 from parcelgrid.operators.skew import BROADCAST_ROWS, keyed_join, salted_join
+from parcelgrid.session import materialise
 
 #: Levels are kept two powers of two apart: few lookups per point.
 LEVEL_STRIDE = 2
@@ -62,24 +64,35 @@ def levels_in_use(boxes: DataFrame, reach: float) -> tuple[list[int], int]:
     return sorted(r["level"] for r in rows), sum(r["count"] for r in rows)
 
 
-def listed_boxes(boxes: DataFrame, reach: float) -> DataFrame:
-    """One row per box and touched cell."""
-    level = _level(box(), reach)
-    around = expand(box(), reach)
-    return (
-        boxes.withColumn("level", level)
-        .withColumn(
-            "cx", F.explode(F.sequence(_cell(around.minx, F.col("level")), _cell(around.maxx, F.col("level"))))
-        )
-        .withColumn(
-            "cy", F.explode(F.sequence(_cell(around.miny, F.col("level")), _cell(around.maxy, F.col("level"))))
-        )
+@dataclass(frozen=True)
+class ListedBoxes:
+    """Boxes listed under the cells they touch, with what a join has to know of them."""
+
+    rows: DataFrame
+    columns: list[str]
+    levels: list[int]
+    n_boxes: int
+
+
+def list_boxes(boxes: DataFrame, reach: float, keep: bool = False) -> ListedBoxes:
+    """One row per box and touched cell; boxes with a missing side are left out.
+
+    ``keep`` writes the list to the shared folder, for use by many joins.
+    """
+    known = boxes.where(" and ".join(f"{f} is not null" for f in BOX_FIELDS))
+    levels, n_boxes = levels_in_use(known, reach)
+    around, level = expand(box(), reach), F.col("level")
+    rows = (
+        known.withColumn("level", _level(box(), reach))
+        .withColumn("cx", F.explode(F.sequence(_cell(around.minx, level), _cell(around.maxx, level))))
+        .withColumn("cy", F.explode(F.sequence(_cell(around.miny, level), _cell(around.maxy, level))))
     )
+    return ListedBoxes(materialise(rows, "listed") if keep else rows, boxes.columns, levels, n_boxes)
 
 
 def cell_pairs(
     points: DataFrame,
-    boxes: DataFrame,
+    boxes: DataFrame | ListedBoxes,
     matches: Column,
     reach: float = 0.0,
     point_id: str = "query_id",
@@ -91,20 +104,24 @@ def cell_pairs(
 
     ``matches`` must imply that the box is within ``reach`` of the point. With
     ``how="left"`` every point has at least one row, and may have several with
-    NULL box columns. Points and boxes must not share column names. A counted
-    small box table is broadcast; beyond that the join shuffles on the cell,
-    with crowded cells dealt out over several tasks.
+    NULL box columns. Points and boxes must not share column names.
+
+    A counted small box table is broadcast; beyond that the join shuffles on
+    the cell, with crowded cells dealt out over several tasks. Left joins are
+    for folding by point: before a broadcast, points are dealt out by id, which
+    is the one shuffle the fold needs anyway, so it evens out the join as well.
     """
-    known = boxes.where(" and ".join(f"{f} is not null" for f in BOX_FIELDS))
-    levels, n_boxes = levels_in_use(known, reach)
-    listed = listed_boxes(known, reach)
-    wanted = F.array(*(F.lit(v) for v in levels or [LOWEST_LEVEL]))
+    listed = boxes if isinstance(boxes, ListedBoxes) else list_boxes(boxes, reach)
+    small = listed.n_boxes * MOST_CELLS <= BROADCAST_ROWS
+    if small and how == "left":
+        points = points.repartition(point_id)
+    wanted = F.array(*(F.lit(v) for v in listed.levels or [LOWEST_LEVEL]))
     placed = points.withColumn("level", F.explode(wanted)).withColumns(
         {"cx": _cell(F.col(x), F.col("level")), "cy": _cell(F.col(y), F.col("level"))}
     )
-    if n_boxes * MOST_CELLS <= BROADCAST_ROWS:
-        return keyed_join(placed, F.broadcast(listed), CELL, how, matches).drop(*CELL)
-    return salted_join(placed, listed, CELL, point_id, how, condition=matches).drop(*CELL)
+    if small:
+        return keyed_join(placed, F.broadcast(listed.rows), CELL, how, matches).drop(*CELL)
+    return salted_join(placed, listed.rows, CELL, point_id, how, condition=matches).drop(*CELL)
 
 
 def join_points_boxes(
@@ -209,9 +226,15 @@ def with_buffer_overlap(pairs: DataFrame, x: str, y: str, radius: float, name: s
     return staged.withColumn(name, area).select(*pairs.columns, name)
 
 
+def list_copies(boxes: DataFrame, radius: float, keep: bool = False) -> ListedBoxes:
+    """Distinct boxes with their number of copies, listed for :func:`covered_area`."""
+    copies = boxes.groupBy(*BOX_FIELDS).agg(F.count(F.lit(1)).alias("copies"))
+    return list_boxes(copies, radius, keep)
+
+
 def covered_area(
     points: DataFrame,
-    boxes: DataFrame,
+    boxes: DataFrame | ListedBoxes,
     radius: float,
     point_id: str = "query_id",
     x: str = "x",
@@ -223,11 +246,9 @@ def covered_area(
     Overlapping boxes count once each, as the sum of areas it is. The buffer
     is the 64-sided polygon inscribed in the circle. Points without a box in
     reach get 0. Copies of one box are joined once and weighted by their
-    number; the sum is folded before the shuffle by point.
+    number. Pass :func:`list_copies` in place of the boxes to list them once.
     """
-    copies = (
-        boxes.select(*BOX_FIELDS).groupBy(*BOX_FIELDS).agg(F.count(F.lit(1)).alias("copies"))
-    )
+    copies = boxes if isinstance(boxes, ListedBoxes) else list_copies(boxes, radius)
     in_reach = intersects(box(), around_point(F.col(x), F.col(y), radius))
     pairs = cell_pairs(points.select(point_id, x, y), copies, in_reach, radius, point_id, x, y, "left")
     shared = with_buffer_overlap(pairs, x, y, radius, "shared_m2")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from parcelgrid.operators.nearest import build_pyramid
+from parcelgrid.operators.overlap import list_copies
 from parcelgrid.plans.zone_lookup import RADIUS_M, zone_lookup
 
 
@@ -18,15 +19,18 @@ def stream_zone_lookup(
 ) -> StreamingQuery:
     """Look up each micro-batch and write it under ``batch=<number>``.
 
-    The pyramid over the fields is built once and used by every batch. A batch
-    that is run again after a failure overwrites its own folder, so results
-    appear exactly once.
+    The fields are made ready once and used by every batch. A batch that
+    is run again after a failure overwrites its own folder, so results appear
+    exactly once.
     """
     pyramid = build_pyramid(fields, carry=["crop_type"])
+    listed = list_copies(fields, radius, keep=True)
 
     def look_up(batch: DataFrame, number: int) -> None:
-        found = zone_lookup(batch, fields, radius, pyramid)
+        batch.persist()
+        found = zone_lookup(batch, fields, radius, pyramid, listed)
         found.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        batch.unpersist()
 
     return (
         readings.writeStream.foreachBatch(look_up)
