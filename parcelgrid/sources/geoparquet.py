@@ -24,6 +24,10 @@ SHORT_NAME = "parcelgrid_geoparquet"
 FOOTER_KEY, FORMAT_VERSION = "geo", "1.0.0"
 CODECS = ("snappy", "none", "zstd")
 
+# How partition folders name missing values, and what they escape.
+MISSING_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = "\"#%'*/:=?\\{}[]^\x7f"
+
 
 def footer(bounds: list[float] | None, srid: int, types: list[str], column: str = "geometry") -> str:
     entry = {"encoding": "WKB", "geometry_types": types}
@@ -36,6 +40,13 @@ def footer(bounds: list[float] | None, srid: int, types: list[str], column: str
     )
 
 
+def _folder_value(value) -> str:
+    """A partition value as folder name, escaped as Spark reads it back."""
+    if value is None or value == "":
+        return MISSING_PARTITION
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 else c for c in str(value))
+
+
 class _Written(WriterCommitMessage):
     def __init__(self, files: list[tuple[str, str]]):
         self.files = files
@@ -69,7 +80,8 @@ class GeoParquetWriter(DataSourceArrowWriter):
     """Each task writes its own files; only those of committed tasks become visible.
 
     Files are written under a hidden attempt folder with unique names and moved
-    on commit, so retried and speculative tasks never clash.
+    on commit, so retried and speculative tasks never clash. A task that outlives
+    an aborted job can leave hidden files behind; readers skip such folders.
     """
 
     def __init__(self, options: dict, overwrite: bool):
@@ -85,8 +97,7 @@ class GeoParquetWriter(DataSourceArrowWriter):
             pafs.LocalFileSystem(), self.target.removeprefix("file:"))
 
     def _folder(self, values: tuple) -> str:
-        parts = [f"{c}={v}" for c, v in zip(self.partition_by, values)]
-        return "/".join(parts)
+        return "/".join(f"{c}={_folder_value(v)}" for c, v in zip(self.partition_by, values))
 
     def write(self, iterator) -> _Written:
         fs, root = self._fs()
@@ -113,14 +124,15 @@ class GeoParquetWriter(DataSourceArrowWriter):
             yield (), batch
             return
         rest = batch.drop_columns(self.partition_by)
-        keys = [batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in self.partition_by]
+        columns = [batch.column(batch.schema.get_field_index(c)) for c in self.partition_by]
         change = np.zeros(max(batch.num_rows - 1, 0), dtype=bool)
-        for k in keys:
-            change |= k[1:] != k[:-1]
+        for column in columns:
+            codes = column.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            change |= codes[1:] != codes[:-1]
         edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
         for start, end in zip(edges, edges[1:]):
             if end > start:
-                yield tuple(k[start] for k in keys), rest.slice(start, end - start)
+                yield tuple(c[start].as_py() for c in columns), rest.slice(start, end - start)
 
     def commit(self, messages) -> None:
         fs, root = self._fs()
@@ -217,7 +229,7 @@ def _read_footers(frames):
                 (pafs.LocalFileSystem(), path.removeprefix("file:"))
                 if path.startswith("file:") else pafs.FileSystem.from_uri(path)
             )
-            with fs.open_input_file(inner.replace("%20", " ")) as stream:
+            with fs.open_input_file(inner) as stream:
                 meta = pq.ParquetFile(stream).metadata
             text = (meta.metadata or {}).get(FOOTER_KEY.encode())
             geo = json.loads(text) if text else None
