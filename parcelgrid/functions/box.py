@@ -165,14 +165,17 @@ def around_point(x, y, radius) -> Box:
     return Box(x - radius, y - radius, x + radius, y + radius)
 
 
+def is_known(b: Box) -> Column:
+    """Every side is there and finite (NULL, NaN and infinities are not)."""
+    limit = F.lit(float("inf"))
+    # NaN sorts above infinity, so one comparison covers all three
+    known = [F.coalesce(F.abs(v) < limit, F.lit(False)) for v in b]
+    return known[0] & known[1] & known[2] & known[3]
+
+
 def is_valid(b: Box) -> Column:
     """Finite and of positive width and height."""
-    finite = [
-        ~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))) for v in b
-    ]
-    return (
-        finite[0] & finite[1] & finite[2] & finite[3] & (b.maxx > b.minx) & (b.maxy > b.miny)
-    )
+    return is_known(b) & (b.maxx > b.minx) & (b.maxy > b.miny)
 
 
 def buffer_area(b: Box, d: float) -> Column:

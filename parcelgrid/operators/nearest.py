@@ -36,6 +36,7 @@ from parcelgrid.functions.box import (
     centroid_y,
     distance_to_point,
     gap,
+    is_known,
     reach,
     total_bounds,
 )
@@ -104,7 +105,7 @@ def distinct_boxes(boxes: DataFrame, id_col: str, carry: list[str]) -> DataFrame
     """One row per distinct box, that of the lowest id: copies can never win a tie."""
     fields = [F.col(id_col).alias("poly_id"), *(F.col(c) for c in carry)]
     return (
-        boxes.where(" and ".join(f"{f} is not null" for f in BOX_FIELDS))
+        boxes.where(is_known(box()))
         .groupBy(*BOX_FIELDS)
         .agg(F.min(F.struct(*fields)).alias("item"))
     )
@@ -296,7 +297,7 @@ def nearest_box(
     """``query_id, nearest_poly_id, distance_m`` and carried box columns.
 
     ``query_id`` must be unique. Every query keeps its row: without any box, or
-    without a position, the id is NULL and the distance infinite. ``carry``
+    without a finite position, the id is NULL and the distance infinite. ``carry``
     maps box columns to output names. Pass the result of :func:`build_pyramid`
     in place of the boxes to use it for many query sets.
     """
@@ -305,10 +306,10 @@ def nearest_box(
     grid = pyramid.grid
     points = queries.select(
         F.col(query_id).alias("query_id"),
-        F.col(x).alias("x"),
-        F.col(y).alias("y"),
-        grid.index(F.col(x), grid.x0).alias("gx"),
-        grid.index(F.col(y), grid.y0).alias("gy"),
+        *(F.when(F.abs(c) < F.lit(float("inf")), F.col(c)).alias(n) for c, n in ((x, "x"), (y, "y"))),
+    )
+    points = points.withColumns(
+        {"gx": grid.index(F.col("x"), grid.x0), "gy": grid.index(F.col("y"), grid.y0)}
     )
     # used twice below; written once, so the points are not read and grouped again
     groups = materialise(query_groups(points), "groups")

@@ -26,6 +26,7 @@ from parcelgrid.functions.box import (
     distance_to_point,
     expand,
     intersects,
+    is_known,
     strictly_contains_point,
 )
 from parcelgrid.operators.skew import BROADCAST_ROWS, keyed_join, salted_join
@@ -75,11 +76,11 @@ class ListedBoxes:
 
 
 def list_boxes(boxes: DataFrame, reach: float, keep: bool = False) -> ListedBoxes:
-    """One row per box and touched cell; boxes with a missing side are left out.
+    """One row per box and touched cell; boxes with a missing or infinite side are left out.
 
     ``keep`` writes the list to the shared folder, for use by many joins.
     """
-    known = boxes.where(" and ".join(f"{f} is not null" for f in BOX_FIELDS))
+    known = boxes.where(is_known(box()))
     levels, n_boxes = levels_in_use(known, reach)
     around, level = expand(box(), reach), F.col("level")
     rows = (

@@ -115,14 +115,20 @@ def test_nearest_without_boxes_or_position(spark):
     p, b, _, _ = frames(spark, "single")
     none = nearest_box(p, b.where("false")).collect()
     assert len(none) == 20 and all(r["nearest_poly_id"] is None and math.isinf(r["distance_m"]) for r in none)
-    lost = spark.createDataFrame([(1, None, 2.0), (2, 3.0, 4.0)], POINTS)
+    lost = spark.createDataFrame(
+        [(1, None, 2.0), (2, 3.0, 4.0), (3, math.nan, 4.0), (4, 3.0, math.inf)], POINTS
+    )
     rows = {r["query_id"]: r for r in nearest_box(lost, b).collect()}
-    assert rows[1]["nearest_poly_id"] is None and rows[2]["nearest_poly_id"] == 0
+    assert rows[2]["nearest_poly_id"] == 0
+    assert all(rows[i]["nearest_poly_id"] is None and math.isinf(rows[i]["distance_m"]) for i in (1, 3, 4))
 
 
 def test_null_boxes_are_passed_over(spark):
     p, b, points, boxes = frames(spark, "ties")
-    extra = spark.createDataFrame([(9999, "none", None, 1.0, 2.0, 3.0)], BOXES)
+    extra = spark.createDataFrame(
+        [(9999, "none", None, 1.0, 2.0, 3.0), (9998, "none", 0.0, math.nan, 9.0, 9.0), (9997, "none", 0.0, 0.0, math.inf, 9.0)],
+        BOXES,
+    )
     assert_nearest(nearest_box(p, b.union(extra)), points, boxes)
     assert overlap.points_in_boxes(p, extra).count() == 0
 
@@ -225,6 +231,13 @@ def test_zone_lookup_columns(spark):
         assert (rows[i]["nearby_covered_area_m2"] == 0) == (not (d[i] < 79.9).any())
 
 
+def test_zone_lookup_plan(spark):
+    p, b, _, _ = frames(spark, "skewed")
+    plan = plan_of(zone_lookup(p, b, 80.0))
+    for avoided in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInArrow"):
+        assert avoided not in plan
+
+
 def test_candidate_counts(spark):
     p, b, points, boxes = frames(spark, "skewed")
     mids = (boxes[:, :2] + boxes[:, 2:]) / 2
