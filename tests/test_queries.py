@@ -10,6 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import __spark_entry__ as contract  # noqa: E402
 from check_queries import check  # noqa: E402
+from parcelgrid.plans import registry  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 ROWS_ONLY = {"tile_sample", "size_audit"}
@@ -24,11 +25,11 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
+    assert set(registry.QUERIES) - set(registry.ORACLES) == ROWS_ONLY
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", registry.QUERIES)
 def test_query(spark, con, name):
     status, rows, _, note = check(spark, con, name, SF_DIR)
     assert status == ("rows-only" if name in ROWS_ONLY else "ok"), note
