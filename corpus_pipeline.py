@@ -3,8 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from parcelgrid.llm.line_dedup import without_repeated_lines
+from parcelgrid.llm.mixing import mixed
+from parcelgrid.llm.packing import pack
 from parcelgrid.llm.repetition import without_repetitive
+from parcelgrid.llm.simhash import one_per_group
+
+
+def with_length(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``n_chars`` of the text as it is now."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,8 +22,35 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return without_repetitive(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each class of similar lines stays in one place; documents left without words go."""
+    return with_length(without_repeated_lines(docs))
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return one_per_group(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the target of their source asks."""
+    return with_length(mixed(docs))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 2048 tokens, with their ids."""
+    return pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("simhash_dedup", simhash_dedup),
+    ("mix_sources", mix_sources),
+    ("packing", packing),
+]
 
+#: SQL cannot express the stages; tests/llm/test_pipeline.py holds them against brute force.
 ORACLE_SQL = None
 
 

@@ -4,18 +4,79 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelgrid.llm.licences import scan
+from parcelgrid.llm.line_dedup import line_classes
+from parcelgrid.llm.mixing import mix
+from parcelgrid.llm.packing import pack
 from parcelgrid.llm.repetition import repetition
+from parcelgrid.llm.simhash import near_duplicates
+from parcelgrid.llm.token_cache import token_counts
+from parcelgrid.llm.topk import top_k
+from parcelgrid.llm.url_filter import judge
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, packed along a Hilbert curve; the pieces without their ids."""
+    return pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    return top_k(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every document with its fuzzy class."""
+    return line_classes(table(spark, sf_dir, "documents"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and class of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's URL."""
+    return judge(table(spark, sf_dir, "pages"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document, by the targets of the sources."""
+    return mix(table(spark, sf_dir, "documents"))
+
+
+def op8_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document, through a cache that starts out empty."""
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence notice in every document."""
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures and verdict of every document."""
     return repetition(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op10_repetition": op10_repetition}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_packing,
+        op2_topk,
+        op3_line_dedup,
+        op5_simhash,
+        op6_url_filter,
+        op7_mixing,
+        op8_token_cache,
+        op9_licences,
+        op10_repetition,
+    )
+}
 
 ORACLES: dict[str, str] = {}
