@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from parcelgrid.llm.licences import scan
 from parcelgrid.llm.line_dedup import line_classes
 from parcelgrid.llm.mixing import mix
+from parcelgrid.llm.oracles import ORACLES as ORACLES
 from parcelgrid.llm.packing import pack
 from parcelgrid.llm.repetition import repetition
 from parcelgrid.llm.simhash import near_duplicates
 from parcelgrid.llm.token_cache import token_counts
 from parcelgrid.llm.topk import top_k
+from parcelgrid.llm.toxicity import toxicity
 from parcelgrid.llm.url_filter import judge
 
 
@@ -34,6 +36,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_classes(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels that are not held out."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and class of every document."""
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -70,6 +77,7 @@ QUERIES = {
         op1_packing,
         op2_topk,
         op3_line_dedup,
+        op4_toxicity,
         op5_simhash,
         op6_url_filter,
         op7_mixing,
@@ -78,5 +86,3 @@ QUERIES = {
         op10_repetition,
     )
 }
-
-ORACLES: dict[str, str] = {}

@@ -103,8 +103,10 @@ def matrix(rows: pd.Series, largest: int) -> np.ndarray:
 
 def search_blocks(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     """Search each (d, block, chunk) of ``queries`` in the same of ``candidates``."""
+    columns = ["d", "block", "chunk", "vec_id", "x"]
 
     def find(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.set_axis(columns, axis=1)
         if not len(queries) or not len(rows):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
         largest = max(int(np.abs(np.array(x.tolist(), np.int64)).max(initial=0)) for x in (queries["x"], rows["x"]))
@@ -116,8 +118,10 @@ def search_blocks(queries: DataFrame, candidates: DataFrame, k: int) -> DataFram
         owner, ids, scores = (np.concatenate(column).astype(np.int64) for column in zip(*parts))
         return pd.DataFrame({"query_id": owner, "vec_id": ids, "score": scores})
 
-    keys = ["d", "block", "chunk"]
-    return queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(find, FOUND)
+    # both sides come from one table, so the candidates' columns get names of their own
+    renamed = candidates.select(*(F.col(c).alias(f"of_{c}") for c in columns))
+    asked = queries.groupBy("d", "block", "chunk")
+    return asked.cogroup(renamed.groupBy("of_d", "of_block", "of_chunk")).applyInPandas(find, FOUND)
 
 
 def best_of(found: DataFrame, k: int) -> DataFrame:
