@@ -1,8 +1,9 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Two bigram models, toxic and ordinary, are counted on the labelled training
-rows. Both interpolate with absolute discounts, first with their own counts of
-distinct contexts, then with the shared ones of both classes. An expression
+rows; an expression counts once per text, so a text that repeats itself weighs
+no more than another. Both interpolate with absolute discounts, first with their
+own counts of distinct contexts, then with the shared ones of both classes. An expression
 whose counts do not tell the classes apart (likelihood ratio statistic below
 ``GATE``, or seen under ``LEAST`` times) has no class of its own: it is scored
 by the shared backoff counts, which are the same on both sides and cancel out.
@@ -10,9 +11,10 @@ What is left is a table of telling words and bigrams with the difference of
 their log-likelihoods; a text's value is their sum over its number of tokens.
 
 The counts cover all training rows and grow with them. The words are counted
-first; bigrams are counted between words that occur ``LEAST`` times. A logistic
-curve then turns the value into a probability. It is fitted to a histogram of
-the training rows' values, which has at most ``2 * BINS`` rows at any size.
+first; bigrams are counted between words that occur ``LEAST`` times. A rising
+step curve (pooled adjacent violators) then turns the value into a probability.
+It is fitted to a histogram of all training rows' values, which has at most
+``2 * BINS`` rows at any size.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from parcelgrid.llm.texts import slices
 
 LETTERS = re.compile(r"[^\W\d_]+")
 LEAST = 5
-GATE = 15.0
+GATE = 20.0
 #: Labels, words and model entries are broadcast up to so many rows of 16 bytes; beyond, they are joined.
 BROADCAST_ROWS = 2_000_000
 BINS = 1024
@@ -73,6 +75,14 @@ def bigram_key_column() -> Column:
     return F.col("w").bitwiseXOR(F.shiftleft("u", 32)).bitwiseXOR(F.col("u"))
 
 
+def once_per_text(keys: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions of the first occurrence of each key in each text."""
+    owner = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+    # an odd multiplier spreads the texts over all 64 bits
+    mixed = keys.view(np.uint64) + owner * np.uint64(0x9E3779B97F4A7C15)
+    return np.unique(mixed, return_index=True)[1]
+
+
 def summed(key: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Position of the first row of each key, and its ordinary and toxic rows."""
     _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
@@ -90,18 +100,19 @@ def member(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_counts(train: DataFrame) -> DataFrame:
-    """``w, n`` of every word of ``text, toxic``."""
+    """``w, n``: every word of ``text, toxic`` and the number of texts with it."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            words, n = np.unique(tokens(part.column("text").to_pylist())[0], return_counts=True)
+            words, sizes = tokens(part.column("text").to_pylist())
+            words, n = np.unique(words[once_per_text(words, sizes)], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(n)], ["w", "n"])
 
     return train.mapInArrow(find, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
 
 def bigram_counts(train: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """``w, u, o, t``: ordinary and toxic counts of word ``w`` after context ``u``, both in the vocabulary."""
+    """``w, u, o, t``: ordinary and toxic texts with word ``w`` after context ``u``, both in the vocabulary."""
     fits = vocabulary.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     known = None
     if fits:
@@ -113,12 +124,13 @@ def bigram_counts(train: DataFrame, vocabulary: DataFrame) -> DataFrame:
             words, sizes = tokens(part.column("text").to_pylist())
             before = contexts(words, sizes)
             toxic = np.repeat(part.column("toxic").to_numpy() == 1, sizes)
-            if known is not None:
+            keep = once_per_text(bigram_key(words, before), sizes)
+            if known is not None and len(words):
                 own = member(known.value, words)[0]
                 # the first word of a text follows the start, which is always known
                 led = np.r_[True, own[:-1]] | (before == 0)
-                keep = own & led
-                words, before, toxic = words[keep], before[keep], toxic[keep]
+                keep = keep[(own & led)[keep]]
+            words, before, toxic = words[keep], before[keep], toxic[keep]
             first, ordinary, bad = summed(bigram_key(words, before), toxic)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (words[first], before[first], ordinary, bad)], ["w", "u", "o", "t"]
@@ -276,23 +288,28 @@ def stretched(value: Column) -> Column:
     return F.signum(value) * F.log1p(1000 * F.abs(value))
 
 
-def curve(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
-    """Intercept and slope of a logistic curve through (x, ordinary, toxic), with a slight pull to zero."""
-    if not bins:
-        return 0.0, 0.0
-    x, good, bad = (np.array(column, float) for column in zip(*bins))
-    design = np.stack([np.ones_like(x), x], axis=1)
-    weight, pull = np.zeros(2), np.diag([1e-3, 1e-1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ weight, -30, 30)))
-        n = good + bad
-        gradient = design.T @ (bad - n * p) - pull @ weight
-        hessian = design.T @ (design * (n * p * (1 - p))[:, None]) + pull
-        step = np.linalg.solve(hessian, gradient)
-        weight += step * min(1.0, 5.0 / np.abs(step).max()) if np.abs(step).max() > 0 else 0
-        if np.abs(step).max() < 1e-9:
-            break
-    return float(weight[0]), max(0.0, float(weight[1]))
+def curve(bins: list[tuple[int, int, int]]) -> np.ndarray:
+    """The probability of each bin from -BINS to BINS, given (bin, ordinary, toxic): rising steps.
+
+    Neighbouring steps that fall are pooled. Each pool counts one more row that
+    is toxic with the overall share, so few rows are never certain. Between two
+    steps the curve is a straight line, and a slight slope keeps the order.
+    """
+    everywhere = np.arange(-BINS, BINS + 1)
+    rows = sum(good + bad for _, good, bad in bins)
+    if not rows:
+        return np.full(len(everywhere), 0.5)
+    share = sum(bad for _, _, bad in bins) / rows
+    pools: list[list[float]] = []  # first bin, last bin, rows, toxic rows
+    for at, good, bad in sorted(bins):
+        pools.append([at, at, good + bad, bad])
+        while len(pools) > 1 and pools[-2][3] * pools[-1][2] >= pools[-1][3] * pools[-2][2]:
+            _, last, n, toxic = pools.pop()
+            pools[-1][1:] = [last, pools[-1][2] + n, pools[-1][3] + toxic]
+    x = [edge for first, last, _, _ in pools for edge in (first, last)]
+    p = [(toxic + share) / (n + 1) for _, _, n, toxic in pools for _ in range(2)]
+    steps = np.maximum.accumulate(np.interp(everywhere, x, p))
+    return 0.999 * steps + 0.001 * (everywhere + BINS) / (2 * BINS)
 
 
 def toxicity(
@@ -307,8 +324,7 @@ def toxicity(
     Rows whose CRC-32 of the id, as text, leaves 1 when divided by 3 are held
     out: their labels are not read. A null id is not held out and has no label;
     labels other than 0 and 1 are ignored, of several the highest counts. Null
-    and empty texts have no tokens and score by the share of toxic rows among
-    the training rows like them. Without training rows every score is 0.5.
+    and empty texts have no tokens and have the value 0, and the score of the training rows around it. Without training rows every score is 0.5.
     Repeated rows repeat, an empty table gives no rows, other columns are not
     looked at.
     """
@@ -324,14 +340,16 @@ def toxicity(
     side = F.broadcast(marks) if marks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else marks
     train = texts.join(side, "id").select("text", "toxic")
     found = Kept(values(texts, model(train)), "values").df
-    x = stretched(F.col("value"))
-    at = F.greatest(F.least(F.round(x / BIN_WIDTH), F.lit(BINS - 1)), F.lit(-BINS)).cast("int")
-    histogram = found.join(side, "id").groupBy(at.alias("bin")).agg(
+    x = F.round(stretched(F.col("value")) / BIN_WIDTH)
+    at = F.greatest(F.least(x, F.lit(BINS)), F.lit(-BINS)).cast("int").alias("bin")
+    binned = found.select("id", at)
+    histogram = binned.join(side, "id").groupBy("bin").agg(
         F.count_if(F.col("toxic") == 0).alias("good"), F.count_if(F.col("toxic") == 1).alias("bad")
     )
-    intercept, slope = curve([(r.bin * BIN_WIDTH, r.good, r.bad) for r in histogram.collect()])
-    score = 1 / (1 + F.exp(-(F.lit(intercept) + F.lit(slope) * x)))
-    return found.withColumn("score", score).select(
+    fitted = curve([(r.bin, r.good, r.bad) for r in histogram.collect()]).tolist()
+    # one row per bin
+    scores = docs.sparkSession.createDataFrame(list(zip(range(-BINS, BINS + 1), fitted)), "bin int, score double")
+    return binned.join(F.broadcast(scores), "bin").select(
         F.col("id").alias(id_col),
         held.alias("held_out"),
         "score",
