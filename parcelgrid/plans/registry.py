@@ -1047,22 +1047,72 @@ def geojson_roundtrip(spark, sf_dir):
     return _box_columns(geojson.read_geojson(spark, _written_geojson(spark, sf_dir), _STORED_PROPERTIES, "lines"))
 
 
-@query("stream_geojson_ingest", ORACLES["attr_filter_area_m2"])
-def stream_geojson_ingest(spark, sf_dir):
-    path, target = _written_geojson(spark, sf_dir), shared_path(spark, "ingested")
-    run = ingest_geojson(
-        spark,
-        path,
-        target,
-        shared_path(spark, "ingest-progress"),
-        _STORED_PROPERTIES,
-        UTM_11N,
-        prefix=geojson.OWN_PREFIX,
-    )
+def _feature_collections(spark, sf_dir, id_first: bool, spaced: bool):
+    """The fields as collections of one line, one file per crop, as other writers lay them out."""
+    fields = fields_with_rings(spark, sf_dir, "fields_ll", crs.WGS84)
+    coordinates = geojson.coordinates_of_polygon(F.col("geom.rings"))
+    parts = {
+        "type": F.lit("Feature"),
+        "properties": F.struct("field_id", "crop_type", "county", "year", "area_ha"),
+        "geometry": F.struct(F.lit("Polygon").alias("type"), coordinates.alias("coordinates")),
+    }
+    own_id = {"id": F.col("field_id").cast("string")}
+    ordered = {**own_id, **parts} if id_first else {"type": parts["type"], **own_id, **parts}
+    text = F.to_json(F.struct(*(value.alias(name) for name, value in ordered.items())))
+    if spaced:  # as a dump with default separators has it; no value holds these marks
+        text = F.regexp_replace(F.regexp_replace(text, '":', '": '), ',"', ', "')
+    path = shared_path(spark, "collections")
+    header = F.lit('{"type": "FeatureCollection", "features": [')
+    whole = F.concat(header, F.array_join(F.collect_list("text"), ", " if spaced else ","), F.lit("]}"))
+    # one file per field_id bucket, so that no file holds more than a bounded share of the table
+    bucket = F.floor(F.col("field_id") / 5000)
+    fields.select(bucket.alias("bucket"), text.alias("text")).groupBy("bucket").agg(whole.alias("value")).select(
+        "value"
+    ).write.text(path)
+    return path
+
+
+def _read_collections(spark, path, layout=None):
+    return _box_columns(geojson.read_geojson(spark, path, _STORED_PROPERTIES, layout))
+
+
+@query("geojson_collection", oracle_with("fields_ll") + _STORED_SQL)
+def geojson_collection(spark, sf_dir):
+    return _read_collections(spark, _feature_collections(spark, sf_dir, id_first=False, spaced=True))
+
+
+@query("geojson_compact", oracle_with("fields_ll") + _STORED_SQL)
+def geojson_compact(spark, sf_dir):
+    return _read_collections(spark, _feature_collections(spark, sf_dir, id_first=False, spaced=False))
+
+
+@query("geojson_id_first", oracle_with("fields_ll") + _STORED_SQL)
+def geojson_id_first(spark, sf_dir):
+    return _read_collections(spark, _feature_collections(spark, sf_dir, id_first=True, spaced=True))
+
+
+@query("geojson_document", oracle_with("fields_ll") + _STORED_SQL)
+def geojson_document(spark, sf_dir):
+    return _read_collections(spark, _feature_collections(spark, sf_dir, id_first=False, spaced=True), "document")
+
+
+def _ingested(spark, path):
+    target = shared_path(spark, "ingested")
+    run = ingest_geojson(spark, path, target, shared_path(spark, "ingest-progress"), _STORED_PROPERTIES, UTM_11N)
     run.awaitTermination()
     return spark.read.parquet(target).select("field_id", "crop_type", fixed(F.col("area_m2"), 2).alias("area_m2"))
 
 
+@query("stream_geojson_ingest", ORACLES["attr_filter_area_m2"])
+def stream_geojson_ingest(spark, sf_dir):
+    return _ingested(spark, _written_geojson(spark, sf_dir))
+
+
+@query("stream_geojson_collection", ORACLES["attr_filter_area_m2"])
+def stream_geojson_collection(spark, sf_dir):
+    return _ingested(spark, _feature_collections(spark, sf_dir, id_first=True, spaced=True))
+
+
 @query("chunked_etl", ORACLES["attr_filter_area_m2"])
 def chunked_etl(spark, sf_dir):
     features = geojson.read_geojson(spark, _written_geojson(spark, sf_dir), _STORED_PROPERTIES, "lines")

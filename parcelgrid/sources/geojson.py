@@ -2,11 +2,15 @@
 
 One big FeatureCollection is usually a single line. Splitting the text at the
 literal that starts each feature lets many tasks read one file, each handling
-only its own split, so memory does not grow with the file.
+only its own split, so memory does not grow with the file. The literal is taken
+from the start of the text. Nothing is skipped unseen: text that is neither a
+feature nor the frame of a collection ends the read with an error.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,10 +19,16 @@ from parcelgrid.functions.crs import WGS84
 from parcelgrid.functions.ring import bounds_struct
 from parcelgrid.functions.wkt import coordinates_of_polygon, polygon_of_coordinates, tagged
 
-# How a feature starts as text, spaced and unspaced, and its geometry.
-FEATURE_PREFIX = '{"type": "Feature", '
-OWN_PREFIX = '{"type":"Feature",'
+# The geometry types' coordinates, and patterns of the format's own text.
 _COORDINATES = {"polygon": "array<array<array<double>>>", "point": "array<double>"}
+TYPE_FIRST = r'"features"\s*:\s*\[\s*(\{\s*"type"\s*:\s*"Feature"\s*,\s*)'
+IS_FEATURE = r'"type"\s*:\s*"Feature"\s*[,}]'
+HEADER = r'(?s)^\s*\{.*"features"\s*:\s*\[\s*$'
+FRAME = r'^\s*([{}\[\],\s]*|.*"features"\s*:\s*\[|"[^"]+"\s*:.*)\s*$'
+NAMES_FEATURE = r'"type"\s*:\s*"Feature"'
+
+#: Pieces of a file's start that are looked at to tell its layout.
+SNIFFED_PIECES = 32
 
 
 def feature_schema(properties: T.StructType | str, geometry: str = "polygon") -> T.StructType:
@@ -27,6 +37,7 @@ def feature_schema(properties: T.StructType | str, geometry: str = "polygon") ->
     shape = T.StructType.fromDDL(f"type string, coordinates {_COORDINATES[geometry]}")
     return (
         T.StructType()
+        .add("type", T.StringType())
         .add("id", T.StringType())
         .add("properties", properties)
         .add("geometry", shape)
@@ -55,51 +66,100 @@ def _parsed(text: Column, schema: T.StructType) -> Column:
     return F.from_json(text, schema, {"mode": "FAILFAST"}).alias("f")
 
 
-def split_features(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """Features from text split at their common prefix; what precedes the first is dropped.
+def _foreign(text: Column) -> Column:
+    """An error that shows the text that could not be placed."""
+    return F.raise_error(F.concat(F.lit("not a feature or the frame of a collection: "), F.substring(text, 1, 200)))
+
+
+def layout_of_start(start: str) -> tuple[str, str | None]:
+    """(layout, prefix) of a text that starts like this."""
+    found = re.search(TYPE_FIRST, start)
+    if found:
+        return "collection", found.group(1)
+    first_line = next((line for line in start.split("\n") if line.strip()), "")
+    if re.search(IS_FEATURE, first_line) and '"features"' not in first_line:
+        return "lines", None
+    return "document", None
+
 
-    The parser stops at the end of each feature, so the separators and the
-    closing brackets after it need no trimming.
+def sniff(spark: SparkSession, path: str) -> tuple[str, str | None]:
+    """(layout, prefix) from the first characters of one file below ``path``.
+
+    A feature that does not start with its type has no literal to split at, so
+    such a collection is a document. Files of another layout beside that one
+    are not read as something else: they raise.
     """
-    return lines.where(~F.col("value").startswith("{") & (F.length(F.trim("value")) > 0)).select(
-        _parsed(F.concat(F.lit("{"), F.col("value")), schema)
+    pieces = (
+        spark.read.option("lineSep", "{").text(path)
+        .select(F.input_file_name().alias("file"), F.input_file_block_start().alias("start"), "value")
+        .where("start = 0")
+        .limit(SNIFFED_PIECES)
+        .collect()
     )
+    own = [piece.value for piece in pieces if piece.file == pieces[0].file]
+    return layout_of_start("{".join(own) + "{") if own else ("lines", None)
+
+
+def text_options(layout: str, prefix: str | None) -> dict[str, str]:
+    """How Spark's text source cuts files of a layout."""
+    if layout == "collection":
+        return {"lineSep": prefix}
+    return {"wholetext": "true"} if layout == "document" else {}
+
+
+def features_of(texts: DataFrame, schema: T.StructType, layout: str) -> DataFrame:
+    """Parsed features ``f`` of text cut for the layout, in batches or streams."""
+    value = F.col("value")
+    if layout == "collection":
+        # what precedes the first feature of a file must be a header and nothing else
+        header = value.rlike(HEADER) & ~value.rlike(NAMES_FEATURE)
+        framed = ~header & (F.trim(value) != "")
+        whole = F.when(value.rlike(NAMES_FEATURE), _foreign(value).cast("string")).otherwise(
+            F.concat(F.lit('{"type":"Feature",'), value)
+        )
+        return texts.where(framed).select(_parsed(whole, schema))
+    if layout == "lines":
+        is_feature = value.rlike(IS_FEATURE) & value.rlike(r"^\s*\{")
+        framing = value.rlike(FRAME) & ~value.rlike(NAMES_FEATURE)
+        kept = F.when(is_feature, F.lit(True)).when(framing, F.lit(False)).otherwise(_foreign(value).cast("boolean"))
+        parsed = texts.where(kept).select("value", _parsed(value, schema))
+        own = F.col("f.type") == "Feature"
+        return parsed.where(F.when(own, F.lit(True)).otherwise(_foreign(value).cast("boolean"))).select("f")
+    if layout == "document":
+        whole = T.StructType().add("features", T.ArrayType(schema))
+        parsed = texts.where(F.trim(value) != "").select("value", _parsed(value, whole).alias("whole"))
+        listed = F.when(F.col("whole.features").isNull(), _foreign(value).cast(T.ArrayType(schema))).otherwise(
+            F.col("whole.features")
+        )
+        return parsed.select(F.explode(listed).alias("f"))
+    raise ValueError(f"unknown layout {layout}")
 
 
 def read_geojson(
     spark: SparkSession,
     path: str,
     properties: T.StructType | str,
-    layout: str = "collection",
+    layout: str | None = None,
     srid: int = WGS84,
     geometry: str = "polygon",
-    prefix: str = FEATURE_PREFIX,
+    prefix: str | None = None,
 ) -> DataFrame:
     """Features as rows: ``feature_id``, the properties, geometry (and ``bbox``).
 
-    ``layout`` says how features lie in the text:
+    ``layout`` says how features lie in the text; None takes it from the start:
 
     - ``collection``: anywhere, each starting with the literal ``prefix``; splittable
     - ``lines``: one per line, with or without enclosing collection; splittable
     - ``document``: any other JSON; one task per file
     """
+    if layout is None or layout == "collection" and prefix is None:
+        found, literal = sniff(spark, path)
+        layout, prefix = (found, literal) if layout is None or found != "lines" else (layout, literal)
+        if layout == "collection" and prefix is None:
+            raise ValueError(f"no feature collection below {path}")
     schema = feature_schema(properties, geometry)
-    if layout == "collection":
-        lines = spark.read.option("lineSep", prefix).text(path)
-        features = split_features(lines, schema)
-    elif layout == "lines":
-        lines = spark.read.text(path)
-        is_feature = F.col("value").rlike(r'^\s*\{\s*"type"\s*:\s*"Feature"\s*[,}]')
-        features = lines.where(is_feature).select(_parsed(F.col("value"), schema))
-    elif layout == "document":
-        whole = T.StructType().add("features", T.ArrayType(schema))
-        features = (
-            spark.read.schema(whole).option("multiLine", True).option("mode", "FAILFAST").json(path)
-            .select(F.explode("features").alias("f"))
-        )
-    else:
-        raise ValueError(f"unknown layout {layout}")
-    return decoded(features, srid, geometry)
+    texts = spark.read.format("text").options(**text_options(layout, prefix)).load(path)
+    return decoded(features_of(texts, schema, layout), srid, geometry)
 
 
 def feature_text(feature_id: Column, properties: list[str], coordinates: Column, kind: str = "Polygon") -> Column:

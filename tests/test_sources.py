@@ -14,23 +14,21 @@ from parcelgrid.plans import etl
 from parcelgrid.sources import geojson, geoparquet, lake, synthetic
 from parcelgrid.streaming.ingest import ingest_geojson
 
-PROPERTIES = "field_id string, crop_type string, area_ha double, yield_value double, quality_score double"
+PROPERTIES = "name string, crop_type string, area_ha double, note string"
 
 
 def feature(i):
-    lon, lat, size = -115.5 + i * 0.003, 33.0 + i * 0.001, 0.0006 + (i % 9) * 0.0004
-    ring = [[lon, lat], [lon + size, lat], [lon + size, lat + size * 0.7], [lon, lat + size * 0.7], [lon, lat]]
+    """A right triangle, turned by i; some without a note, one without a geometry."""
+    x, y = -116 + (i * 37 % 200) / 100, 32.5 + (i * 53 % 150) / 100
+    legs = [(3, 0), (0, 2), (-3, 0), (0, -2)]
+    (ax, ay), (bx, by) = legs[i % 4], legs[(i + 1) % 4]
+    corners = [[x, y], [x + ax / 1000, y + ay / 1000], [x + bx / 1000, y + by / 1000], [x, y]]
+    notes = {"note": None} if i == 5 else {"note": 'a "quoted" {"type": "Feature", '} if i % 2 else {"note": "plain"}
     return {
         "type": "Feature",
         "id": str(i),
-        "properties": {
-            "field_id": f"GEN_{i:06d}",
-            "crop_type": ["corn", 'so"y, {"type": "Feature", '][i % 2],
-            "area_ha": round(size * size * 0.7 * 111320**2 / 10000, 3),
-            "yield_value": None if i == 5 else 2.5,
-            "quality_score": 0.75,
-        },
-        "geometry": None if i == 7 else {"type": "Polygon", "coordinates": [ring]},
+        "properties": {"name": f"triangle {i}", "crop_type": "corn", "area_ha": i / 100, **notes},
+        "geometry": None if i == 7 else {"type": "Polygon", "coordinates": [corners]},
     }
 
 
@@ -50,9 +48,9 @@ def test_collection_reads_like_document(spark, one_line):
     whole = geojson.read_geojson(spark, one_line, PROPERTIES, layout="document")
     assert split.count() == 400 and verify.differences(split, whole).count() == 0
     row = split.where("feature_id = '3'").first()
-    assert row["geom"]["srid"] == 4326 and len(row["geom"]["rings"][0]) == 5
-    assert row["bbox"]["minx"] == row["geom"]["rings"][0][0]["x"]
-    assert split.where("geom.rings is null").count() == 1 and split.where("yield_value is null").count() == 1
+    assert row["geom"]["srid"] == 4326 and len(row["geom"]["rings"][0]) == 4
+    assert row["bbox"]["maxx"] == max(v["x"] for v in row["geom"]["rings"][0])
+    assert split.where("geom.rings is null").count() == 1 and split.where("note is null").count() == 1
 
 
 def test_one_file_is_split_over_tasks(spark, one_line):
@@ -69,13 +67,13 @@ def test_lines_of_other_writers(spark, tmp_path):
     body = ",\n".join('{ "type": "Feature", ' + json.dumps(feature(i))[20:] for i in range(4))
     (tmp_path / "g.json").write_text('{\n"type": "FeatureCollection",\n"features": [\n' + body + "\n]\n}\n")
     rows = geojson.read_geojson(spark, str(tmp_path / "g.json"), PROPERTIES, layout="lines")
-    assert [r["field_id"] for r in rows.orderBy("field_id").collect()] == [f"GEN_{i:06d}" for i in range(4)]
+    assert [r["name"] for r in rows.orderBy("name").collect()] == [f"triangle {i}" for i in range(4)]
     with pytest.raises(ValueError):
         geojson.read_geojson(spark, str(tmp_path), PROPERTIES, layout="other")
 
 
 def test_broken_features_raise(spark, tmp_path):
-    (tmp_path / "b.json").write_text('{"type":"Feature","id":"1","properties":{"field_id":"a"},"geometry":{"type":"Polygon","coordinates":[[[1,2],[3,"x')
+    (tmp_path / "b.json").write_text('{"type":"Feature","id":"1","properties":{"name":"a"},"geometry":{"type":"Polygon","coordinates":[[[1,2],[3,"x')
     with pytest.raises(Exception, match="(?i)malformed"):
         geojson.read_geojson(spark, str(tmp_path / "b.json"), PROPERTIES, layout="lines").collect()
 
@@ -89,11 +87,54 @@ def test_points(spark, tmp_path):
 def test_geojson_round_trip(spark, one_line, tmp_path):
     first = geojson.read_geojson(spark, one_line, PROPERTIES)
     geojson.write_geojson(first, str(tmp_path / "out"), "feature_id", PROPERTIES.replace(" string", "").replace(" double", "").split(", "))
-    for layout, prefix in (("lines", ""), ("collection", geojson.OWN_PREFIX)):
-        again = geojson.read_geojson(spark, str(tmp_path / "out"), PROPERTIES, layout=layout, prefix=prefix or geojson.FEATURE_PREFIX)
+    for layout, prefix in ((None, None), ("lines", None), ("collection", '{"type":"Feature",')):
+        again = geojson.read_geojson(spark, str(tmp_path / "out"), PROPERTIES, layout=layout, prefix=prefix)
         assert verify.differences(first, again).count() == 0
 
 
+def id_first(i):
+    own = feature(i)
+    return {"id": own["id"], "type": own["type"], "geometry": own["geometry"], "properties": own["properties"]}
+
+
+def written(features, layout):
+    whole = {"type": "FeatureCollection", "name": "x", "features": features}
+    if layout == "compact":
+        return json.dumps(whole, separators=(",", ":"))
+    if layout == "indented":
+        return json.dumps(whole, indent=2)
+    if layout == "lines":
+        return "\n".join(json.dumps(f) for f in features)
+    return json.dumps(whole)
+
+
+@pytest.mark.parametrize("layout", ["plain", "compact", "indented", "lines"])
+@pytest.mark.parametrize("make", [feature, id_first])
+def test_any_writer_s_layout_is_read_whole(spark, tmp_path, layout, make):
+    (tmp_path / "a.json").write_text(written([make(i) for i in range(5)], layout))
+    (tmp_path / "b.json").write_text(written([make(i) for i in range(5, 9)], layout))
+    rows = geojson.read_geojson(spark, str(tmp_path), PROPERTIES)
+    assert sorted(r["name"] for r in rows.collect()) == [f"triangle {i}" for i in range(9)]
+
+
+def test_foreign_files_raise(spark, tmp_path):
+    """Nothing beside the sniffed layout is skipped in silence."""
+    one = written([feature(i) for i in range(3)], "plain")
+    for number, other in enumerate((written([feature(3)], "compact"), written([id_first(3)], "plain"), one[:-2] + ',{"id": 9, "type" :"Feature"}]}')):
+        folder = tmp_path / str(number)
+        folder.mkdir()
+        (folder / "a.json").write_text(one)
+        (folder / "b.json").write_text(other)
+        with pytest.raises(Exception, match="(?i)not a feature|malformed"):
+            geojson.read_geojson(spark, str(folder), PROPERTIES, "collection", prefix='{"type": "Feature", ').collect()
+    (tmp_path / "l.json").write_text(json.dumps(feature(1)) + '\n{"some": "thing"}\n')
+    with pytest.raises(Exception, match="not a feature"):
+        geojson.read_geojson(spark, str(tmp_path / "l.json"), PROPERTIES).collect()
+    (tmp_path / "d.json").write_text('{"rows": [1]}')
+    with pytest.raises(Exception, match="not a feature"):
+        geojson.read_geojson(spark, str(tmp_path / "d.json"), PROPERTIES).collect()
+
+
 def framed(spark, n=300):
     b = B.box()
     rows = synthetic.boxes(spark, n).withColumns({"geom": tagged(R.polygon_of_box(b), 32611), "bbox": B.as_struct(b)})
@@ -190,11 +231,12 @@ def test_evolved_schema(spark, tmp_path):
     assert [r["extra"] for r in rows] == [None, None, "x", "x"]
 
 
-def test_stream_ingest_equals_batch(spark, tmp_path):
+@pytest.mark.parametrize("make", [feature, id_first])
+def test_stream_ingest_equals_batch(spark, tmp_path, make):
     source = tmp_path / "in"
     source.mkdir()
-    collection(source / "a.json", range(0, 100))
-    collection(source / "b.json", range(100, 200))
+    (source / "a.json").write_text(written([make(i) for i in range(100)], "plain"))
+    (source / "b.json").write_text(written([make(i) for i in range(100, 200)], "plain"))
     run = ingest_geojson(spark, str(source), str(tmp_path / "out"), str(tmp_path / "cp"), PROPERTIES, 32611)
     run.awaitTermination()
     assert len([p for p in run.recentProgress if p["numInputRows"] > 0]) == 2
