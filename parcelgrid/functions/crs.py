@@ -164,22 +164,28 @@ def harmonise_points(df: DataFrame, target: int, x: str = "x", y: str = "y", sri
     systems silently is the fault this operator exists to prevent.
     """
     east, north = to_utm(F.col(x), F.col(y), target)
-    unknown = F.raise_error(F.concat(F.lit("unsupported SRID "), F.col(srid).cast("string"))).cast("double")
-    moved = {
-        x: F.when(F.col(srid) == target, F.col(x)).when(F.col(srid) == WGS84, east).otherwise(unknown),
-        y: F.when(F.col(srid) == target, F.col(y)).when(F.col(srid) == WGS84, north).otherwise(unknown),
-    }
+    code = F.coalesce(F.col(srid).cast("string"), F.lit("NULL"))
+    unknown = F.raise_error(F.concat(F.lit("unsupported SRID "), code)).cast("double")
+    nowhere = F.col(x).isNull() | F.col(y).isNull()
+
+    def placed(own, projected):
+        known = F.when(F.col(srid) == target, own).when(F.col(srid) == WGS84, projected)
+        return F.when(nowhere, F.lit(None).cast("double")).otherwise(F.coalesce(known, F.when(~F.col(srid).isin(target, WGS84) | F.col(srid).isNull(), unknown)))
+
+    moved = {x: placed(F.col(x), east), y: placed(F.col(y), north)}
     return df.withColumns(moved).withColumn(srid, F.lit(target))
 
 
 def harmonise_rings(df: DataFrame, target: int, geom: str = "geom") -> DataFrame:
-    """The same for ``STRUCT<srid, rings>`` polygons."""
+    """The same for ``STRUCT<srid, rings>`` polygons; without rings there is nothing to move."""
     rings, srid = F.col(f"{geom}.rings"), F.col(f"{geom}.srid")
-    unknown = F.raise_error(F.concat(F.lit("unsupported SRID "), srid.cast("string"))).cast(
+    code = F.coalesce(srid.cast("string"), F.lit("NULL"))
+    unknown = F.raise_error(F.concat(F.lit("unsupported SRID "), code)).cast(
         df.select(rings).schema[0].dataType
     )
     moved = (
-        F.when(srid == target, rings)
+        F.when(rings.isNull(), F.lit(None))
+        .when(srid == target, rings)
         .when(srid == WGS84, rings_to_utm(rings, target))
         .otherwise(unknown)
     )

@@ -403,12 +403,16 @@ def is_valid(rings: Column) -> Column:
         )
 
     def holes_inside(g):
+        """Hole outlines stay in the shell and do not overlap one another."""
         outer = F.slice(g, 1, 1)
-        return F.forall(
-            holes(g),
-            lambda h: F.forall(
-                h, lambda p: contains_point(outer, p.getField("x"), p.getField("y"))
-            ),
+        inner = holes(g)
+        pairs = F.flatten(
+            F.transform(
+                inner, lambda h, i: F.transform(F.slice(inner, i + 2, F.size(inner)), lambda k: F.struct(h.alias("h"), k.alias("k")))
+            )
+        )
+        return F.forall(inner, lambda h: _outline_inside(h, outer)) & ~F.exists(
+            pairs, lambda p: _rings_overlap(p.getField("h"), p.getField("k"))
         )
 
     def valid(g):
@@ -454,22 +458,95 @@ def intersects(rings: Column, other: Column) -> Column:
     )
 
 
-def within(rings: Column, window: Column) -> Column:
-    """Every vertex and edge middle lies in the window and no edges cross."""
+def _middle(e: Column, name: str) -> Column:
+    return (e.getField("a").getField(name) + e.getField("b").getField(name)) / F.lit(2.0)
 
-    def edge_inside(e):
-        a, b = e.getField("a"), e.getField("b")
-        mid_x = (a.getField("x") + b.getField("x")) / F.lit(2.0)
-        mid_y = (a.getField("y") + b.getField("y")) / F.lit(2.0)
-        return contains_point(window, a.getField("x"), a.getField("y")) & contains_point(
-            window, mid_x, mid_y
+
+def _cut_points(e: Column, corners: Column) -> Column:
+    """Where along an edge, from 0 to 1, it touches one of the corners; with both ends, in order."""
+    ax, ay = e.getField("a").getField("x"), e.getField("a").getField("y")
+    bx, by = e.getField("b").getField("x"), e.getField("b").getField("y")
+    along_x = F.abs(bx - ax) >= F.abs(by - ay)
+
+    def on_edge(p):
+        x, y = p.getField("x"), p.getField("y")
+        between = (
+            (x >= F.least(ax, bx)) & (x <= F.greatest(ax, bx)) & (y >= F.least(ay, by)) & (y <= F.greatest(ay, by))
         )
+        return between & (_turn(ax, ay, bx, by, x, y) == 0)
+
+    def place(p):
+        whole = F.when(along_x, bx - ax).otherwise(by - ay)
+        part = F.when(along_x, p.getField("x") - ax).otherwise(p.getField("y") - ay)
+        return F.when(whole == 0, F.lit(0.0)).otherwise(part / whole)
+
+    touched = F.transform(F.filter(corners, on_edge), place)
+    return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), touched)))
+
+
+def _outline_inside(ring: Column, window: Column) -> Column:
+    """The whole outline lies in the closed window.
+
+    No edge crosses the window's, so an edge can leave it only at a corner that
+    it touches: edges are cut there, and each piece is tested by its middle.
+    """
+    corners = F.flatten(window)
+
+    def edge_inside(e):
+        ax, ay = e.getField("a").getField("x"), e.getField("a").getField("y")
+        bx, by = e.getField("b").getField("x"), e.getField("b").getField("y")
+
+        def pieces_inside(ts):
+            steps = F.zip_with(
+                F.slice(ts, F.lit(1), F.size(ts) - 1), F.slice(ts, F.lit(2), F.size(ts) - 1), lambda s, t: (s + t) / F.lit(2.0)
+            )
+            return F.forall(steps, lambda t: contains_point(window, ax + t * (bx - ax), ay + t * (by - ay)))
 
-    return F.forall(edges(shell(rings)), edge_inside) & ~_any_edge_pair(
-        rings, window, _properly_cross
+        return contains_point(window, ax, ay) & let(_cut_points(e, corners), pieces_inside)
+
+    return F.forall(edges(ring), edge_inside) & ~_any_edge_pair(F.array(ring), window, _properly_cross)
+
+
+def _any_corner_or_middle(ring: Column, test) -> Column:
+    return F.exists(
+        edges(ring),
+        lambda e: test(e.getField("a").getField("x"), e.getField("a").getField("y"))
+        | test(_middle(e, "x"), _middle(e, "y")),
     )
 
 
+def _all_on_outline(ring: Column, other: Column) -> Column:
+    """Every corner and edge middle lies on the other ring."""
+    outline = F.array(other)
+    return ~_any_corner_or_middle(ring, lambda x, y: boundary_distance(outline, x, y) != 0.0)
+
+
+def _rings_overlap(one: Column, two: Column) -> Column:
+    """The insides of two simple rings share an area."""
+    first, second = F.array(one), F.array(two)
+    return (
+        _any_edge_pair(first, second, _properly_cross)
+        | _any_corner_or_middle(one, lambda x, y: strictly_inside(second, x, y))
+        | _any_corner_or_middle(two, lambda x, y: strictly_inside(first, x, y))
+        | _all_on_outline(one, two)
+    )
+
+
+def strictly_inside(rings: Column, x, y) -> Column:
+    """Inside and not on the boundary."""
+    return interior_contains_point(rings, x, y) & (boundary_distance(rings, x, y) > 0.0)
+
+
+def within(rings: Column, window: Column) -> Column:
+    """The polygon lies in the closed window, and no hole of the window lies in it."""
+
+    def hole_outside(h):
+        covers = _any_corner_or_middle(h, lambda x, y: strictly_inside(rings, x, y))
+        return ~(covers | _all_on_outline(h, shell(rings)))
+
+    return _outline_inside(shell(rings), window) & F.forall(holes(window), hole_outside)
+
+
 def _mean_clamped(p: Column, q: Column, low: Column, high: Column) -> Column:
     """Mean of ``u`` limited to [low, high] while u runs evenly from p to q."""
     lo, hi = F.least(p, q), F.greatest(p, q)

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 
 from parcelgrid.functions.ring import RINGS_TYPE
 from parcelgrid.functions.wkb import polygon_of_wkb
+from parcelgrid.functions.wkt import EMPTY_TEXT, POLYGON_TEXT
 
 # name -> (parameters, return type, body)
 SQL_FUNCTIONS = {
@@ -45,18 +46,28 @@ SQL_FUNCTIONS = {
     "poly_from_wkt": (
         "wkt STRING",
         RINGS_TYPE,
-        r"""transform(regexp_extract_all(wkt, '\\(([^()]+)\\)', 1),
-             r -> transform(split(r, ','), p -> named_struct(
-               'x', CAST(split(trim(p), ' +')[0] AS DOUBLE),
-               'y', CAST(split(trim(p), ' +')[1] AS DOUBLE))))""",
+        rf"""CASE WHEN wkt IS NULL THEN NULL
+             WHEN wkt RLIKE r'{POLYGON_TEXT}' THEN transform(regexp_extract_all(wkt, r'\(([^()]+)\)', 1),
+               r -> transform(split(r, ','), p -> named_struct(
+                 'x', CAST(split(regexp_replace(p, r'^\s+|\s+$', ''), r'\s+')[0] AS DOUBLE),
+                 'y', CAST(split(regexp_replace(p, r'^\s+|\s+$', ''), r'\s+')[1] AS DOUBLE))))
+             WHEN wkt RLIKE r'{EMPTY_TEXT}' THEN CAST(array() AS {RINGS_TYPE})
+             ELSE CAST(raise_error(concat('not a polygon: ', substring(wkt, 1, 80))) AS {RINGS_TYPE}) END""",
     ),
-    # the window must be an axis-aligned box, as in a map view
+    # the window must be an axis-aligned box, as in a map view; any other raises
     "poly_within_box": (
         f"rings {RINGS_TYPE}, win {RINGS_TYPE}",
         "BOOLEAN",
-        """forall(rings[0], p ->
-             p.x >= array_min(transform(win[0], w -> w.x)) AND p.x <= array_max(transform(win[0], w -> w.x))
-             AND p.y >= array_min(transform(win[0], w -> w.y)) AND p.y <= array_max(transform(win[0], w -> w.y)))""",
+        """CASE WHEN size(win) = 1 AND size(win[0]) = 5
+               AND size(array_distinct(transform(win[0], w -> w.x))) = 2
+               AND size(array_distinct(transform(win[0], w -> w.y))) = 2
+               AND size(array_distinct(win[0])) = 4
+               AND forall(sequence(1, 4), i -> win[0][i].x = win[0][i - 1].x OR win[0][i].y = win[0][i - 1].y)
+             THEN forall(rings[0], p ->
+               p.x >= array_min(transform(win[0], w -> w.x)) AND p.x <= array_max(transform(win[0], w -> w.x))
+               AND p.y >= array_min(transform(win[0], w -> w.y)) AND p.y <= array_max(transform(win[0], w -> w.y)))
+             WHEN win IS NULL OR rings IS NULL THEN NULL
+             ELSE CAST(raise_error('the window is not an axis-aligned box') AS BOOLEAN) END""",
     ),
 }
 

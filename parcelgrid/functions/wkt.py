@@ -7,24 +7,36 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from parcelgrid.functions.ring import GEOMETRY_TYPE, close_ring
+from parcelgrid.functions.ring import GEOMETRY_TYPE, RINGS_TYPE, close_ring
 
 # Fixed value: how the text form of a polygon starts.
 _POLYGON = re.compile(r"^\s*POLYGON\s*\(\s*(\(.*\))\s*\)\s*$", re.IGNORECASE | re.DOTALL)
 
 
+# Text of a polygon with rings, and of one without.
+POLYGON_TEXT = r"(?is)^\s*POLYGON\s*\(\s*\([^()]+\)\s*(,\s*\([^()]+\)\s*)*\)\s*$"
+EMPTY_TEXT = r"(?i)^\s*POLYGON\s+EMPTY\s*$"
+
+
 def polygon_of_wkt(text: Column) -> Column:
-    """Rings of ``POLYGON((x y, …), (…))`` text."""
+    """Rings of ``POLYGON((x y, …), (…))`` text; any other text raises, NULL stays NULL."""
     ring_texts = F.regexp_extract_all(text, F.lit(r"\(([^()]+)\)"), F.lit(1))
 
     def vertex(pair):
-        parts = F.split(F.trim(pair), r"\s+")
+        parts = F.split(F.regexp_replace(pair, r"^\s+|\s+$", ""), r"\s+")
         return F.struct(
             F.get(parts, F.lit(0)).cast("double").alias("x"),
             F.get(parts, F.lit(1)).cast("double").alias("y"),
         )
 
-    return F.transform(ring_texts, lambda r: F.transform(F.split(r, ","), vertex))
+    rings = F.transform(ring_texts, lambda r: F.transform(F.split(r, ","), vertex))
+    refused = F.raise_error(F.concat(F.lit("not a polygon: "), F.substring(text, 1, 80))).cast(RINGS_TYPE)
+    return (
+        F.when(text.isNull(), F.lit(None))
+        .when(text.rlike(POLYGON_TEXT), rings)
+        .when(text.rlike(EMPTY_TEXT), F.array().cast(RINGS_TYPE))
+        .otherwise(refused)
+    )
 
 
 def window_of_wkt(text: str) -> tuple[float, float, float, float] | None:

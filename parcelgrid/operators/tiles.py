@@ -18,6 +18,7 @@ from parcelgrid.functions.box import (
     length,
     total_bounds,
 )
+from parcelgrid.session import materialise
 from parcelgrid.functions.scalar import (
     clip,
     hectares,
@@ -26,8 +27,9 @@ from parcelgrid.functions.scalar import (
     truncate_to_int,
 )
 
-#: Per-tile tables are broadcast; the grid bounds their row count.
-MAX_TILES = 200_000
+
+#: Tile numbers are 32-bit.
+MOST_TILES = 2**31 - 1
 
 
 def tile_index(cx: Column, cy: Column, extent: Box, n_cols: int, n_rows: int) -> Column:
@@ -48,8 +50,8 @@ def assign_tiles(fields: DataFrame, n_cols: int, n_rows: int, name: str = "tile_
 
     The extent is a one-row aggregate read as scalars inside the plan.
     """
-    if not 1 <= n_cols * n_rows <= MAX_TILES:
-        raise ValueError(f"between 1 and {MAX_TILES} tiles")
+    if n_cols < 1 or n_rows < 1 or n_cols * n_rows > MOST_TILES:
+        raise ValueError("at least one tile, and no more than a tile number can hold")
     b = box()
     extent = fields.agg(F.struct(*total_bounds(b)).alias("extent")).scalar()
     bounds = Box(*(extent.getField(f) for f in Box._fields))
@@ -77,14 +79,14 @@ def tile_features(tiled: DataFrame, tile: str = "tile_id") -> DataFrame:
 
     A tile may hold most of the data, so nothing is windowed over tiles: the
     per-tile means are folded before the shuffle, come out as one row per tile
-    and are broadcast back.
+    and are joined back; Spark broadcasts them while they are small.
     """
     b = box()
     cx, cy = centroid_x(b), centroid_y(b)
     per_tile = tiled.groupBy(tile).agg(
         F.avg(cx).alias("tile_cx"), F.avg(cy).alias("tile_cy"), F.count(F.lit(1)).alias("n_in_partition")
     )
-    joined = tiled.join(F.broadcast(per_tile), tile)
+    joined = tiled.join(per_tile, tile)
     return joined.select(
         "field_id",
         "crop_type",
@@ -103,42 +105,93 @@ def tile_features(tiled: DataFrame, tile: str = "tile_id") -> DataFrame:
     )
 
 
+def with_tile_means(tiled: DataFrame, tile: str = "tile_id") -> DataFrame:
+    """Add ``tile_cx``, ``tile_cy`` and ``n_in_partition`` of each row's tile."""
+    b = box()
+    per_tile = tiled.groupBy(tile).agg(
+        F.avg(centroid_x(b)).alias("tile_cx"),
+        F.avg(centroid_y(b)).alias("tile_cy"),
+        F.count(F.lit(1)).alias("n_in_partition"),
+    )
+    return tiled.join(per_tile, tile)
+
+
 def apply_per_tile(
     tiled: DataFrame,
     function: Callable,
     schema: str,
     tile: str = "tile_id",
-    rows_per_call: int = 100_000,
+    rows_per_call: int | None = None,
 ) -> DataFrame:
-    """Run a pandas function over each tile's rows, a bounded piece at a time.
+    """Run a pandas function over each whole tile, whatever its size.
 
     The function gets a frame of one tile with the tile's own ``tile_cx``,
-    ``tile_cy`` and ``n_in_partition`` as columns. Tiles above
-    ``rows_per_call`` rows are dealt into pieces by row hash, so no task ever
-    holds a whole crowded tile; functions must therefore be stateless per row.
+    ``tile_cy`` and ``n_in_partition`` as columns. A whole tile must fit one
+    task; a function that looks at single rows only may say so by
+    ``rows_per_call``, and then gets pieces of about so many rows. For
+    crowded tiles and functions of a whole tile, see ``fold_per_tile``.
     """
-    b = box()
-    per_tile = tiled.groupBy(tile).agg(
-        F.avg(centroid_x(b)).alias("tile_cx"),
-        F.avg(centroid_y(b)).alias("tile_cy"),
-        F.count(F.lit(1)).alias("n_in_partition"),
-    )
+    dealt = with_tile_means(tiled, tile)
+    if rows_per_call is None:
+        return dealt.groupBy(tile).applyInPandas(function, schema)
     pieces = F.ceil(F.col("n_in_partition") / F.lit(float(rows_per_call)))
-    dealt = tiled.join(F.broadcast(per_tile), tile).withColumn(
-        "piece", F.pmod(F.xxhash64(*tiled.columns), pieces)
-    )
+    dealt = dealt.withColumn("piece", F.pmod(F.xxhash64(*tiled.columns), pieces))
     return dealt.groupBy(tile, "piece").applyInPandas(
         lambda frame: function(frame.drop(columns="piece")), schema
     )
 
 
+def fold_per_tile(
+    tiled: DataFrame,
+    partial: Callable,
+    partial_schema: str,
+    finish: Callable,
+    schema: str,
+    tile: str = "tile_id",
+    pieces: int = 32,
+) -> DataFrame:
+    """Two phases for crowded tiles: ``partial`` shrinks pieces of a tile, ``finish`` merges them.
+
+    ``partial`` gets a frame of a hashed piece of one tile and keeps the tile's
+    column; ``finish`` gets all partial rows of one tile. The result must not
+    depend on how rows are dealt to pieces.
+    """
+    dealt = tiled.withColumn("piece", F.pmod(F.xxhash64(*tiled.columns), F.lit(pieces)))
+    shrunk = dealt.groupBy(tile, "piece").applyInPandas(
+        lambda frame: partial(frame.drop(columns="piece")), partial_schema
+    )
+    return shrunk.groupBy(tile).applyInPandas(finish, schema)
+
+
+def apply_per_chunk(
+    df: DataFrame, function: Callable, schema: str, size: int, order: list[str], chunk: str = "chunk"
+) -> DataFrame:
+    """Run a pandas function over consecutive chunks of ``size`` rows in the order of ``order``.
+
+    The order must be total; it, and not the partitioning, decides which rows
+    form a chunk. The rows are range-sorted and counted per partition, so no
+    task sees more than its range, and a call sees one chunk.
+    """
+    ranged = materialise(
+        df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranged"
+    )
+    # one row per partition
+    counts = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    starts = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__start"))
+    place = F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1
+    numbered = ranged.withColumn("__place", place).join(F.broadcast(starts), "__part")
+    chunked = numbered.withColumn(chunk, F.floor((F.col("__start") + F.col("__place")) / F.lit(size)).cast("bigint"))
+    return chunked.drop("__part", "__place", "__start").groupBy(chunk).applyInPandas(function, schema)
+
+
 def sample_per_tile(tiled: DataFrame, n: int, key: str, seed: int = 42, tile: str = "tile_id") -> DataFrame:
     """Up to ``n`` features of each tile, the same for the same seed.
 
-    Ranks by a hash of the key; Spark keeps only the first ``n`` of a tile in
-    each task before the shuffle.
+    Ranks by the MD5 of seed and key; Spark keeps only the first ``n`` of a
+    tile in each task before the shuffle.
     """
-    order = Window.partitionBy(tile).orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key))
+    drawn = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
+    order = Window.partitionBy(tile).orderBy(drawn, F.col(key))
     return tiled.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).drop("rank")
 
 

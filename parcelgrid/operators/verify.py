@@ -29,22 +29,31 @@ def reconcile(
     rtol: float = RELATIVE_TOLERANCE,
     atol: float = ABSOLUTE_TOLERANCE,
 ) -> DataFrame:
-    """One row of counts, match percentages, largest errors and a verdict."""
+    """One row of counts, match percentages, largest errors and a verdict.
+
+    Rows are counted per side, before they meet. A key that occurs more than
+    once on a side cannot be matched: it is counted in ``n_duplicate_keys``,
+    left out of the comparison, and the verdict is a mismatch.
+    """
     columns = [*exact, *approximate]
-    a = left.select(*keys, *(F.col(c).alias(f"a_{c}") for c in columns), F.lit(True).alias("in_a"))
-    b = right.select(*keys, *(F.col(c).alias(f"b_{c}") for c in columns), F.lit(True).alias("in_b"))
-    both = F.col("in_a").isNotNull() & F.col("in_b").isNotNull()
-    same = {c: F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")) for c in exact}
-    same |= {c: is_close(F.col(f"a_{c}"), F.col(f"b_{c}"), rtol, atol) for c in approximate}
-    counted = a.join(b, keys, "full_outer").agg(
-        F.count("in_a").alias("n_left"),
-        F.count("in_b").alias("n_right"),
+
+    def keyed(df, side):
+        # of a key's rows one is carried on, for comparison if it is the only one
+        held = F.min(F.struct(*(F.col(c).alias(f"{side}_{c}") for c in columns))).alias(f"in_{side}")
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"n_{side}"), held)
+
+    joined = keyed(left, "a").join(keyed(right, "b"), keys, "full_outer")
+    both = (F.col("n_a") == 1) & (F.col("n_b") == 1)
+    value = lambda side, c: F.col(f"in_{side}.{side}_{c}")
+    same = {c: value("a", c).eqNullSafe(value("b", c)) for c in exact}
+    same |= {c: is_close(value("a", c), value("b", c), rtol, atol) for c in approximate}
+    counted = joined.agg(
+        F.coalesce(F.sum("n_a"), F.lit(0)).alias("n_left"),
+        F.coalesce(F.sum("n_b"), F.lit(0)).alias("n_right"),
+        F.count_if((F.col("n_a") > 1) | (F.col("n_b") > 1)).alias("n_duplicate_keys"),
         F.count_if(both).alias("n_common"),
         *(F.count_if(both & ok).alias(f"n_match_{c}") for c, ok in same.items()),
-        *(
-            F.max(F.when(both, F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")))).alias(f"max_error_{c}")
-            for c in approximate
-        ),
+        *(F.max(F.when(both, F.abs(value("a", c) - value("b", c)))).alias(f"max_error_{c}") for c in approximate),
     )
     complete = (F.col("n_left") == F.col("n_common")) & (F.col("n_right") == F.col("n_common"))
     all_match = reduce(

@@ -285,11 +285,11 @@ def sql_functions(spark, sf_dir):
     register_sql_functions(spark)
     fields_with_rings(spark, sf_dir, "fields_ll", crs.WGS84).select(
         "field_id", "year", wkb_of_polygon("geom.rings").alias("geometry")
-    ).createOrReplaceTempView("agricultural_fields")
+    ).createOrReplaceTempView("fields_of_year")
     return spark.sql(
         f"""
         SELECT field_id, floor(poly_area(poly_from_wkb(geometry)) * 1000000 * 10000D + 0.5D) / 10000D AS area_udeg2
-        FROM agricultural_fields
+        FROM fields_of_year
         WHERE poly_within_box(poly_from_wkb(geometry), poly_from_wkt('{WINDOW_WKT}')) AND year = 2024"""
     )
 
@@ -742,33 +742,66 @@ def tile_features(spark, sf_dir):
     return tiles.tile_features(_tiled(spark, sf_dir))
 
 
-def _tile_function(frame):
-    """The tile metrics as a user's pandas function."""
-    import numpy as np
-
-    w, h = frame["maxx"] - frame["minx"], frame["maxy"] - frame["miny"]
-    cx, cy = (frame["minx"] + frame["maxx"]) / 2, (frame["miny"] + frame["maxy"]) / 2
-    out = frame[["field_id", "crop_type", "area_ha"]].copy()
-    out["computed_area_m2"] = w * h
-    out["computed_area_ha"] = w * h / 10000
-    out["perimeter_m"] = 2 * (w + h)
-    out["compactness"] = (4 * np.pi * (w * h) / ((2 * (w + h)) * (2 * (w + h)))).round(6)
-    out["centroid_x"], out["centroid_y"] = cx, cy
-    dx, dy = cx - frame["tile_cx"], cy - frame["tile_cy"]
-    out["dist_to_tile_center_m"] = np.sqrt(dx * dx + dy * dy).round(2)
-    out["partition_id"] = frame["tile_id"]
-    out["n_in_partition"] = frame["n_in_partition"]
-    return out
-
-
-@query("tile_function", _TILE_FEATURES_SQL)
-def tile_function(spark, sf_dir):
-    schema = (
-        "field_id bigint, crop_type string, area_ha double, computed_area_m2 double, computed_area_ha double, "
-        "perimeter_m double, compactness double, centroid_x double, centroid_y double, "
-        "dist_to_tile_center_m double, partition_id int, n_in_partition bigint"
+def _rank_in_tile(frame):
+    """A user's function that needs its whole tile: places by area, and each field's share of it."""
+    size = (frame["maxx"] - frame["minx"]) * (frame["maxy"] - frame["miny"])
+    ordered = frame.assign(area_m2=size).sort_values(["area_m2", "field_id"], ascending=[False, True])
+    ordered["place"] = range(1, len(ordered) + 1)
+    ordered["above_mean"] = ordered["area_m2"] > size.sum() / len(size)
+    return ordered[["tile_id", "field_id", "place", "above_mean"]]
+
+
+@query(
+    "tile_rank",
+    oracle_with("fields_m") + "," + _TILES_SQL + """
+    SELECT tile_id, field_id, row_number() OVER (PARTITION BY tile_id ORDER BY a DESC, field_id) AS place,
+      a > sum(a) OVER (PARTITION BY tile_id) / count(*) OVER (PARTITION BY tile_id) AS above_mean
+    FROM (SELECT *, (maxx - minx) * (maxy - miny) AS a FROM tiled)""",
+)
+def tile_rank(spark, sf_dir):
+    schema = "tile_id int, field_id bigint, place bigint, above_mean boolean"
+    return tiles.apply_per_tile(_tiled(spark, sf_dir), _rank_in_tile, schema)
+
+
+def _crop_sums(frame):
+    return frame.groupby(["tile_id", "crop_type"], as_index=False).agg(n=("field_id", "size"), last=("field_id", "max"))
+
+
+def _largest_crop(frame):
+    sums = frame.groupby(["tile_id", "crop_type"], as_index=False).agg(n=("n", "sum"), last=("last", "max"))
+    return sums.sort_values(["n", "crop_type"], ascending=[False, True]).head(1)
+
+
+@query(
+    "tile_fold",
+    oracle_with("fields_m") + "," + _TILES_SQL + """,
+    sums AS (SELECT tile_id, crop_type, count(*) AS n, max(field_id) AS last FROM tiled GROUP BY tile_id, crop_type)
+    SELECT tile_id, crop_type, n, last FROM sums QUALIFY row_number() OVER (PARTITION BY tile_id ORDER BY n DESC, crop_type) = 1""",
+)
+def tile_fold(spark, sf_dir):
+    schema = "tile_id int, crop_type string, n bigint, last bigint"
+    return tiles.fold_per_tile(_tiled(spark, sf_dir), _crop_sums, schema, _largest_crop, schema)
+
+
+def _chunk_report(frame):
+    import pandas as pd
+
+    kept = frame[frame["area_ha"] > etl.MIN_AREA_HA]
+    return pd.DataFrame(
+        {"chunk": frame["chunk"].iloc[:1], "n_read": len(frame), "n_kept": len(kept), "first_id": frame["field_id"].min(), "last_id": frame["field_id"].max()}
     )
-    return tiles.apply_per_tile(_tiled(spark, sf_dir), _tile_function, schema)
+
+
+@query(
+    "chunk_function",
+    oracle_with("fields_ll")
+    + """ SELECT CAST(floor((k - 1) / 250) AS BIGINT) AS chunk, count(*) AS n_read,
+      count(*) FILTER (WHERE area_ha > CAST(0.5 AS DOUBLE)) AS n_kept, min(field_id) AS first_id, max(field_id) AS last_id
+    FROM (SELECT *, row_number() OVER (ORDER BY field_id) AS k FROM fields_ll) GROUP BY 1""",
+)
+def chunk_function(spark, sf_dir):
+    schema = "chunk bigint, n_read bigint, n_kept bigint, first_id bigint, last_id bigint"
+    return tiles.apply_per_chunk(fixture(spark, sf_dir, "fields_ll"), _chunk_report, schema, 250, ["field_id"])
 
 
 @query(
@@ -799,7 +832,11 @@ def tile_ids(spark, sf_dir):
     return tiles.tile_ids(_tiled(spark, sf_dir))
 
 
-@query("tile_sample")
+@query(
+    "tile_sample",
+    oracle_with("fields_m") + "," + _TILES_SQL + """ SELECT tile_id, field_id FROM tiled
+    QUALIFY row_number() OVER (PARTITION BY tile_id ORDER BY md5('42:' || CAST(field_id AS VARCHAR)), field_id) <= 50""",
+)
 def tile_sample(spark, sf_dir):
     return tiles.sample_per_tile(_tiled(spark, sf_dir), 50, "field_id").select("tile_id", "field_id")
 
@@ -892,7 +929,7 @@ def first_fields(spark, sf_dir):
 @query(
     "reconcile",
     oracle_with("fields_m")
-    + """ SELECT count(*) AS n_left, count(*) AS n_right, count(*) AS n_common, count(*) AS n_match_crop_type,
+    + """ SELECT count(*) AS n_left, count(*) AS n_right, 0 AS n_duplicate_keys, count(*) AS n_common, count(*) AS n_match_crop_type,
     count(*) AS n_match_area_m2, CAST(0 AS DOUBLE) AS max_error_area_m2, CAST(100 AS DOUBLE) AS match_pct_crop_type,
     CAST(100 AS DOUBLE) AS match_pct_area_m2, 'MATCH' AS verdict FROM fields_m""",
 )
@@ -912,7 +949,7 @@ def reconcile(spark, sf_dir):
           FROM fields_m WHERE area_ha < 180),
     j AS (SELECT a.field_id AS ka, b.field_id AS kb, a.crop_type AS ca, b.crop_type AS cb, a.yield_tha AS ya, b.yield_tha AS yb
           FROM a FULL OUTER JOIN b ON a.field_id = b.field_id),
-    c AS (SELECT count(ka) AS n_left, count(kb) AS n_right, count(*) FILTER (WHERE ka IS NOT NULL AND kb IS NOT NULL) AS n_common,
+    c AS (SELECT count(ka) AS n_left, count(kb) AS n_right, 0 AS n_duplicate_keys, count(*) FILTER (WHERE ka IS NOT NULL AND kb IS NOT NULL) AS n_common,
       count(*) FILTER (WHERE ka IS NOT NULL AND kb IS NOT NULL AND ca = cb) AS n_match_crop_type,
       count(*) FILTER (WHERE ka IS NOT NULL AND kb IS NOT NULL AND abs(ya - yb) <= CAST(1e-8 AS DOUBLE) + CAST(1e-5 AS DOUBLE) * abs(yb)) AS n_match_yield_tha,
       max(abs(ya - yb)) AS max_error_yield_tha FROM j)

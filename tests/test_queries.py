@@ -13,7 +13,7 @@ from check_queries import check  # noqa: E402
 from parcelgrid.plans import registry  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
-ROWS_ONLY = {"tile_sample", "size_audit"}
+ROWS_ONLY = {"size_audit"}
 
 
 @pytest.fixture(scope="module")

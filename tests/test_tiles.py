@@ -5,16 +5,8 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from parcelgrid.operators import summaries, tiles, verify
-from parcelgrid.plans.registry import _tile_function
 from parcelgrid.sources import synthetic
 
-FEATURES = (
-    "field_id bigint, crop_type string, area_ha double, computed_area_m2 double, computed_area_ha double, "
-    "perimeter_m double, compactness double, centroid_x double, centroid_y double, "
-    "dist_to_tile_center_m double, partition_id int, n_in_partition bigint"
-)
-
-
 @pytest.fixture(scope="module")
 def fields(spark):
     even = synthetic.boxes(spark, 900, extent=200_000.0).drop("label")
@@ -48,13 +40,18 @@ def test_one_place_is_one_tile(spark):
         tiles.assign_tiles(one, 0, 4)
 
 
-def test_features_equal_the_user_function(tiled):
-    native = tiles.tile_features(tiled)
-    # small pieces: the crowded tile is dealt over several calls
-    by_function = tiles.apply_per_tile(tiled, _tile_function, FEATURES, rows_per_call=100)
-    numbers = ["computed_area_m2", "computed_area_ha", "perimeter_m", "compactness", "centroid_x", "centroid_y", "dist_to_tile_center_m"]
-    report = verify.reconcile(native, by_function, ["field_id"], ["crop_type", "partition_id", "n_in_partition"], numbers).first()
-    assert report["verdict"] == "MATCH" and report["n_common"] == 1500
+def test_features_by_hand(tiled):
+    rows, native = tiled.collect(), {r["field_id"]: r for r in tiles.tile_features(tiled).collect()}
+    tile_of = {}
+    for r in rows:
+        tile_of.setdefault(r["tile_id"], []).append(((r["minx"] + r["maxx"]) / 2, (r["miny"] + r["maxy"]) / 2))
+    for r in rows:
+        own, got = tile_of[r["tile_id"]], native[r["field_id"]]
+        mean = [sum(c[i] for c in own) / len(own) for i in (0, 1)]
+        centre = ((r["minx"] + r["maxx"]) / 2, (r["miny"] + r["maxy"]) / 2)
+        assert got["computed_area_m2"] == pytest.approx((r["maxx"] - r["minx"]) * (r["maxy"] - r["miny"]))
+        assert got["dist_to_tile_center_m"] == pytest.approx(math.dist(centre, mean), abs=0.006)
+        assert got["n_in_partition"] == len(own) and got["partition_id"] == r["tile_id"]
 
 
 def test_features_use_no_window(tiled):
@@ -62,12 +59,41 @@ def test_features_use_no_window(tiled):
     assert "Window" not in plan and "BatchEvalPython" not in plan
 
 
-def test_user_function_gets_bounded_pieces(tiled):
-    def size(frame):
+def test_user_function_gets_whole_tiles(tiled):
+    def one_size(frame):
         return frame.assign(n=len(frame))[["tile_id", "n"]].head(1)
 
-    sizes = tiles.apply_per_tile(tiled, size, "tile_id int, n bigint", rows_per_call=100).collect()
-    assert max(r["n"] for r in sizes) < 200 and sum(r["n"] for r in sizes) == 1500
+    sizes = {r["tile_id"]: r["n_in_tile"] for r in tiles.tile_sizes(tiled).collect()}
+    got = tiles.apply_per_tile(tiled, one_size, "tile_id int, n bigint").collect()
+    assert {r["tile_id"]: r["n"] for r in got} == sizes and len(got) == len(sizes)
+    pieces = tiles.apply_per_tile(tiled, one_size, "tile_id int, n bigint", rows_per_call=100).collect()
+    assert max(r["n"] for r in pieces) < 200 and sum(r["n"] for r in pieces) == 1500
+
+
+def test_fold_does_not_depend_on_the_pieces(tiled):
+    def partial(frame):
+        return frame.groupby("tile_id", as_index=False).agg(n=("field_id", "size"), total=("field_id", "sum"))
+
+    def finish(frame):
+        return partial_sum(frame)
+
+    def partial_sum(frame):
+        return frame.groupby("tile_id", as_index=False).agg(n=("n", "sum"), total=("total", "sum"))
+
+    schema = "tile_id int, n bigint, total bigint"
+    one, many = (sorted(map(tuple, tiles.fold_per_tile(tiled, partial, schema, finish, schema, pieces=k).collect())) for k in (1, 50))
+    assert one == many and sum(n for _, n, _ in one) == 1500
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_chunks_follow_the_order(fields, partitions):
+    def span(frame):
+        return frame.groupby("chunk", as_index=False).agg(n=("field_id", "size"), low=("field_id", "min"), high=("field_id", "max"))
+
+    got = tiles.apply_per_chunk(fields.repartition(partitions), span, "chunk bigint, n bigint, low bigint, high bigint", 400, ["field_id"])
+    ids = sorted(r["field_id"] for r in fields.select("field_id").collect())
+    want = [(k, len(p), p[0], p[-1]) for k in range(4) if (p := ids[400 * k : 400 * (k + 1)])]
+    assert sorted(map(tuple, got.collect())) == want
 
 
 def test_sample(tiled):
