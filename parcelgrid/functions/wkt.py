@@ -75,6 +75,6 @@ def coordinates_of_polygon(rings: Column) -> Column:
     )
 
 
-def tagged(rings: Column, srid: int) -> Column:
+def tagged(rings: Column, srid: int | Column) -> Column:
     """A geometry struct carrying its coordinate system."""
     return F.struct(F.lit(srid).alias("srid"), rings.alias("rings")).cast(GEOMETRY_TYPE)

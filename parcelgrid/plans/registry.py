@@ -1034,6 +1034,37 @@ def geoparquet_partitioned(spark, sf_dir):
     return _box_columns(back.withColumn("bbox", R.bounds_struct(F.col("geom.rings"))))
 
 
+@query(
+    "geoparquet_mixed_srid",
+    oracle_with("fields_ll", "fields_m")
+    + """ SELECT field_id, 4326 AS srid, minx, miny, maxx, maxy FROM fields_ll
+    UNION ALL SELECT field_id, 32611, minx, miny, maxx, maxy FROM fields_m""",
+)
+def geoparquet_mixed_srid(spark, sf_dir):
+    path = shared_path(spark, "geoparquet")
+    degrees = fields_with_rings(spark, sf_dir, "fields_ll", crs.WGS84).select("field_id", "geom", "bbox")
+    metres = fields_with_rings(spark, sf_dir, "fields_m", UTM_11N).select("field_id", "geom", "bbox")
+    geoparquet.write_geoparquet(degrees.unionByName(metres), path)
+    back = geoparquet.read_geoparquet(spark, path).select("field_id", "geom")
+    boxed = back.withColumn("bbox", R.bounds_struct(F.col("geom.rings")))
+    return boxed.select("field_id", "geom.srid", *B.as_columns(B.box_of("bbox")))
+
+
+@query(
+    "geoparquet_points",
+    oracle_with("points_ll") + " SELECT point_id, 4326 AS srid, lon AS x, lat AS y, 'Point' AS kind FROM points_ll",
+)
+def geoparquet_points(spark, sf_dir):
+    path = shared_path(spark, "geoparquet")
+    geoparquet.write_geoparquet_points(fixture(spark, sf_dir, "points_ll"), path, crs.WGS84, "lon", "lat")
+    kinds = geoparquet.footers(spark, path).select(
+        F.get_json_object("geo", "$.columns.geometry.geometry_types[0]").alias("kind")
+    )
+    back = geoparquet.read_geoparquet_points(spark, path).select("point_id", "srid", "x", "y")
+    # one row per kind of geometry
+    return back.join(F.broadcast(kinds.distinct()))
+
+
 @query(
     "geoparquet_metadata",
     oracle_with("fields_ll")
