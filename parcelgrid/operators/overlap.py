@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelgrid.functions import ring as R
 from parcelgrid.functions.box import (
@@ -35,10 +36,13 @@ from parcelgrid.session import materialise
 #: Levels are kept two powers of two apart: few lookups per point.
 LEVEL_STRIDE = 2
 LOWEST_LEVEL = -20
-HIGHEST_LEVEL = 40
+HIGHEST_LEVEL = 1000
 
 CELL = ["level", "cx", "cy"]
 
+#: Largest list that is broadcast.
+BROADCAST_BYTES = 32 << 20
+
 #: Cells a box can touch on its own level: its reach is at most two cells wide.
 MOST_CELLS = 9
 
@@ -59,10 +63,19 @@ def _cell(value: Column, level: Column) -> Column:
     return F.floor(value / F.pow(F.lit(2.0), level)).cast("bigint")
 
 
-def levels_in_use(boxes: DataFrame, reach: float) -> tuple[list[int], int]:
-    """Distinct levels (a few dozen at most) and the number of boxes."""
-    rows = boxes.groupBy(_level(box(), reach).alias("level")).count().collect()
-    return sorted(r["level"] for r in rows), sum(r["count"] for r in rows)
+def levels_in_use(boxes: DataFrame, reach: float) -> tuple[list[int], int, int | None]:
+    """Distinct levels (a few dozen at most), the number of boxes, and the bytes of the widest row.
+
+    Arrays, binaries and the like have no bound, so their width is None.
+    """
+    texts = [f.name for f in boxes.schema.fields if isinstance(f.dataType, T.StringType)]
+    fixed = [f for f in boxes.schema.fields if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType))]
+    width = sum((F.coalesce(F.max(F.octet_length(c)), F.lit(0)) for c in texts), F.lit(16 * len(boxes.columns)))
+    rows = boxes.groupBy(_level(box(), reach).alias("level")).agg(F.count(F.lit(1)).alias("n"), width.alias("width"))
+    found = rows.collect()
+    bounded = len(texts) + len(fixed) == len(boxes.columns)
+    widest = max((r["width"] for r in found), default=0) if bounded else None
+    return sorted(r["level"] for r in found), sum(r["n"] for r in found), widest
 
 
 @dataclass(frozen=True)
@@ -73,6 +86,13 @@ class ListedBoxes:
     columns: list[str]
     levels: list[int]
     n_boxes: int
+    row_bytes: int | None
+
+    @property
+    def small(self) -> bool:
+        """Whether the list may be broadcast, by rows and by bytes."""
+        rows = self.n_boxes * MOST_CELLS
+        return self.row_bytes is not None and rows <= BROADCAST_ROWS and rows * self.row_bytes <= BROADCAST_BYTES
 
 
 def list_boxes(boxes: DataFrame, reach: float, keep: bool = False) -> ListedBoxes:
@@ -81,14 +101,14 @@ def list_boxes(boxes: DataFrame, reach: float, keep: bool = False) -> ListedBoxe
     ``keep`` writes the list to the shared folder, for use by many joins.
     """
     known = boxes.where(is_known(box()))
-    levels, n_boxes = levels_in_use(known, reach)
+    levels, n_boxes, row_bytes = levels_in_use(known, reach)
     around, level = expand(box(), reach), F.col("level")
     rows = (
         known.withColumn("level", _level(box(), reach))
         .withColumn("cx", F.explode(F.sequence(_cell(around.minx, level), _cell(around.maxx, level))))
         .withColumn("cy", F.explode(F.sequence(_cell(around.miny, level), _cell(around.maxy, level))))
     )
-    return ListedBoxes(materialise(rows, "listed") if keep else rows, boxes.columns, levels, n_boxes)
+    return ListedBoxes(materialise(rows, "listed") if keep else rows, boxes.columns, levels, n_boxes, row_bytes)
 
 
 def cell_pairs(
@@ -113,7 +133,7 @@ def cell_pairs(
     is the one shuffle the fold needs anyway, so it evens out the join as well.
     """
     listed = boxes if isinstance(boxes, ListedBoxes) else list_boxes(boxes, reach)
-    small = listed.n_boxes * MOST_CELLS <= BROADCAST_ROWS
+    small = listed.small
     if small and how == "left":
         points = points.repartition(point_id)
     wanted = F.array(*(F.lit(v) for v in listed.levels or [LOWEST_LEVEL]))

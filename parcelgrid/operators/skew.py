@@ -7,11 +7,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows of one key that a single task may take before the key is split.
+from parcelgrid.session import materialise
+
+#: Rows of one key, on either side, that a single task may take before the key is split.
 ROWS_PER_TASK = 1_000_000
 
-#: Only the largest keys are split; any key beyond them holds under 1/10,000 of the rows.
-MAX_HOT_KEYS = 10_000
+#: Comparisons within one key that a single task may take.
+PAIRS_PER_TASK = 1_000_000_000
 
 #: Largest side, in rows, that is broadcast. Callers pass a counted row bound;
 #: rows are narrow (tens of bytes), so this stays within a few tens of MB.
@@ -23,18 +25,23 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if max_rows <= BROADCAST_ROWS else df
 
 
-def hot_keys(key_counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
-    """Keys to split, with ``salts`` pieces each; at most ``MAX_HOT_KEYS`` rows.
+def hot_keys(left_counts: DataFrame, right_counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """Keys to split, with ``left_salts`` and ``right_salts`` pieces.
 
-    ``key_counts`` has one row per key and its row count. Ties are ordered by
-    key, so every evaluation names the same keys.
+    Both tables have one row per key and its row count. A key is split until no
+    piece has more than ``ROWS_PER_TASK`` rows of either side, nor more than
+    ``PAIRS_PER_TASK`` pairs of rows.
     """
-    return (
-        key_counts.where(F.col(n) > ROWS_PER_TASK)
-        .orderBy(F.desc(n), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col(n) / F.lit(float(ROWS_PER_TASK))).cast("int").alias("salts"))
+    both = left_counts.select(*keys, F.col(n).alias("n_left")).join(
+        right_counts.select(*keys, F.col(n).alias("n_right")), keys
     )
+    pieces = lambda rows: F.ceil(rows / F.lit(float(ROWS_PER_TASK)))
+    split = both.withColumns({"by_left": pieces(F.col("n_left")), "right_salts": pieces(F.col("n_right")).cast("int")})
+    pairs = F.col("n_left").cast("double") * F.col("n_right") / (F.col("by_left") * F.col("right_salts"))
+    more = F.greatest(F.ceil(pairs / F.lit(float(PAIRS_PER_TASK))), F.lit(1))
+    # no more pieces than rows
+    left_salts = F.least(F.col("by_left") * more, F.col("n_left")).cast("int")
+    return split.select(*keys, left_salts.alias("left_salts"), "right_salts").where("left_salts > 1 OR right_salts > 1")
 
 
 def keyed_join(
@@ -57,25 +64,35 @@ def salted_join(
     key_counts: DataFrame | None = None,
     condition: Column | None = None,
 ) -> DataFrame:
-    """Join on ``keys``; rows of a hot left key are dealt out over several tasks.
+    """Join on ``keys``; a hot key is dealt out over several tasks.
 
-    Left rows of a hot key get a salt from ``spread_by``; the matching right
-    rows are repeated once per salt. Cold keys keep salt 0 on both sides, so
-    their rows are neither repeated nor moved differently. The set of hot keys
-    is bounded (see :func:`hot_keys`) and is broadcast to both sides.
+    Rows of a hot key get a salt on their own side and are repeated once per
+    salt of the other, so every pair meets in exactly one piece. Cold keys are
+    one piece. With ``how="left"`` and a key split on the right, a left row may
+    come out several times without a match; fold by it. The hot keys are
+    written once and broadcast only if they are few.
     """
-    if key_counts is None:
-        key_counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot = F.broadcast(hot_keys(key_counts, keys))
-    dealt = left.join(hot, keys, "left").withColumn(
-        "salt",
-        F.when(
-            F.col("salts").isNotNull(), F.pmod(F.xxhash64(spread_by), F.col("salts")).cast("int")
-        ).otherwise(F.lit(0)),
-    )
-    repeated = right.join(hot, keys, "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1))
-    )
+    counts = lambda df: df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    hot = hot_keys(key_counts if key_counts is not None else counts(left), counts(right), keys)
+    hot = materialise(hot, "hot-keys")
+    n_hot = hot.limit(BROADCAST_ROWS + 1).count()
+    if not n_hot:
+        return keyed_join(left, right, keys, how, condition)
+    hot = broadcast_if_small(hot, n_hot)
+    none = F.lit(1)
+
+    def dealt(df: DataFrame, own: str, other: str, spread: list) -> DataFrame:
+        marked = df.join(hot, keys, "left")
+        salt = F.pmod(F.xxhash64(*spread), F.coalesce(own, none)).cast("int")
+        repeats = F.explode(F.sequence(F.lit(0), F.coalesce(other, none) - 1))
+        return marked.withColumns({own.replace("salts", "salt"): salt}).withColumn(
+            other.replace("salts", "salt"), repeats
+        ).drop(own, other)
+
     return keyed_join(
-        dealt.drop("salts"), repeated.drop("salts"), [*keys, "salt"], how, condition
-    ).drop("salt")
+        dealt(left, "left_salts", "right_salts", [spread_by]),
+        dealt(right, "right_salts", "left_salts", right.columns),
+        [*keys, "left_salt", "right_salt"],
+        how,
+        condition,
+    ).drop("left_salt", "right_salt")

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from parcelgrid.operators.nearest import build_pyramid
 from parcelgrid.operators.overlap import list_copies
 from parcelgrid.plans.zone_lookup import RADIUS_M, zone_lookup
+from parcelgrid.session import intermediates
 
 
 def stream_zone_lookup(
@@ -28,9 +29,12 @@ def stream_zone_lookup(
 
     def look_up(batch: DataFrame, number: int) -> None:
         batch.persist()
-        found = zone_lookup(batch, fields, radius, pyramid, listed)
-        found.write.mode("overwrite").parquet(f"{target}/batch={number}")
-        batch.unpersist()
+        try:
+            with intermediates(batch.sparkSession):
+                found = zone_lookup(batch, fields, radius, pyramid, listed)
+                found.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        finally:
+            batch.unpersist()
 
     return (
         readings.writeStream.foreachBatch(look_up)

@@ -7,6 +7,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+from parcelgrid.functions import box as B
 from parcelgrid.functions import ring as R
 from parcelgrid.operators import nearest, overlap, skew
 from parcelgrid.operators.nearest import build_pyramid, nearest_box
@@ -164,10 +165,34 @@ def test_shuffled_cell_join_is_salted(spark, no_broadcast, monkeypatch):
     assert len(rows) == len(expected) and {tuple(r) for r in rows} == expected
 
 
-def test_hot_keys(spark, monkeypatch):
+def test_hot_keys_by_rows_of_either_side_and_by_pairs(spark, monkeypatch):
     monkeypatch.setattr(skew, "ROWS_PER_TASK", 10)
-    counts = spark.createDataFrame([("a", 35), ("b", 10), ("c", 1)], "k string, n bigint")
-    assert [tuple(r) for r in skew.hot_keys(counts, ["k"]).collect()] == [("a", 4)]
+    monkeypatch.setattr(skew, "PAIRS_PER_TASK", 50)
+    left = spark.createDataFrame([("a", 35), ("b", 10), ("c", 1), ("d", 10), ("e", 2)], "k string, n bigint")
+    right = spark.createDataFrame([("a", 1), ("b", 5), ("c", 25), ("d", 10)], "k string, n bigint")
+    found = {r["k"]: (r["left_salts"], r["right_salts"]) for r in skew.hot_keys(left, right, ["k"]).collect()}
+    assert found == {"a": (4, 1), "c": (1, 3), "d": (2, 1)}
+
+
+@pytest.mark.parametrize("sizes", [(300, 2), (2, 300), (80, 80)])
+def test_a_key_hot_on_either_side_is_split(spark, no_broadcast, monkeypatch, sizes):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 20)
+    monkeypatch.setattr(skew, "PAIRS_PER_TASK", 500)
+    n, m = sizes
+    left = spark.range(n).selectExpr("id AS a", "1 AS k").unionByName(spark.range(3).selectExpr("id + 900 AS a", "int(id) + 5 AS k"))
+    right = spark.range(m).selectExpr("id AS b", "1 AS k").unionByName(spark.range(1).selectExpr("900 AS b", "6 AS k"))
+    pairs = skew.salted_join(left, right, ["k"], "a", "inner").select("a", "b").collect()
+    assert len(pairs) == len(set(pairs)) == n * m + 1
+    kept = skew.salted_join(left, right, ["k"], "a", "left").groupBy("a").agg(F.count("b").alias("n")).collect()
+    assert {r["a"]: r["n"] for r in kept} == {**{i: m for i in range(n)}, 900: 0, 901: 1, 902: 0}
+
+
+def test_wide_polygons_are_not_broadcast(spark):
+    p, b, _, _ = frames(spark, "even")
+    polygons = b.select("field_id", R.polygon_of_box(B.box()).alias("rings"))
+    assert "BroadcastHashJoin" in plan_of(overlap.points_in_boxes(p, b))
+    listed = overlap.list_boxes(polygons.select("*", R.bounds_struct(F.col("rings")).alias("e")).select("*", "e.*"), 0.0)
+    assert not listed.small
 
 
 def clip(outline, low, high, axis):
