@@ -18,6 +18,7 @@ from parcelgrid.functions import ring as R
 from parcelgrid.functions.scalar import (
     hectares,
     padded_id,
+    pick,
     safe_ratio,
 )
 from parcelgrid.functions.sql import register_sql_functions
@@ -478,13 +479,16 @@ def nearest_polygon(spark, sf_dir):
 @query(
     "nearest_left_outer",
     oracle_with("fields_m", "sensors_m")
-    + """, far AS (SELECT * FROM fields_m WHERE crop_type = 'barley')
-    SELECT query_id, CAST(NULL AS BIGINT) AS nearest_poly_id, CAST('Infinity' AS DOUBLE) AS distance_m
-    FROM sensors_m""",
+    + "," + _DISTANCES_SQL
+    + """ SELECT s.query_id, CASE WHEN s.query_id % 7 <> 0 THEN nearest_poly_id END AS nearest_poly_id,
+      CASE WHEN s.query_id % 7 <> 0 THEN distance_m ELSE CAST('Infinity' AS DOUBLE) END AS distance_m
+    FROM sensors_m s JOIN nearest n ON s.query_id = n.query_id""",
 )
 def nearest_left_outer(spark, sf_dir):
-    none = fixture(spark, sf_dir, "fields_m").where("crop_type = 'barley'")
-    return nearest_box(fixture(spark, sf_dir, "sensors_m"), none)
+    """Every seventh sensor has no position; it keeps its row, unmatched."""
+    lost = F.when(F.col("query_id") % 7 != 0, F.col("x"))
+    sensors = fixture(spark, sf_dir, "sensors_m").withColumn("x", lost)
+    return nearest_box(sensors, fixture(spark, sf_dir, "fields_m"))
 
 
 @query(
@@ -497,11 +501,10 @@ def nearest_left_outer(spark, sf_dir):
     ORDER BY query_id LIMIT 30""",
 )
 def nearest_links_top30(spark, sf_dir):
-    sensors, fields = fixture(spark, sf_dir, "sensors_m"), fixture(spark, sf_dir, "fields_m")
-    nearest = nearest_box(
-        sensors, fields, carry={f: f for f in B.BOX_FIELDS}
-    )
-    return summaries.first_rows(nearest.join(sensors, "query_id"), 30, "query_id").select(
+    # every query keeps its row, so the report's rows are taken first
+    sensors = summaries.first_rows(fixture(spark, sf_dir, "sensors_m"), 30, "query_id")
+    nearest = nearest_box(sensors, fixture(spark, sf_dir, "fields_m"), carry={f: f for f in B.BOX_FIELDS})
+    return nearest.join(sensors, "query_id").select(
         "query_id",
         "nearest_poly_id",
         F.col("x").alias("from_x"),
@@ -832,6 +835,16 @@ def tile_ids(spark, sf_dir):
     return tiles.tile_ids(_tiled(spark, sf_dir))
 
 
+@query(
+    "tile_tasks",
+    oracle_with("fields_m") + "," + _TILES_SQL + " SELECT tile_id, count(*) AS n_rows, 1 AS n_tasks FROM tiled GROUP BY tile_id",
+)
+def tile_tasks(spark, sf_dir):
+    """Rows brought together by tile: each tile lies in one task."""
+    together = tiles.by_tile(_tiled(spark, sf_dir)).withColumn("task", F.spark_partition_id())
+    return together.groupBy("tile_id").agg(F.count("*").alias("n_rows"), F.count_distinct("task").alias("n_tasks"))
+
+
 @query(
     "tile_sample",
     oracle_with("fields_m") + "," + _TILES_SQL + """ SELECT tile_id, field_id FROM tiled
@@ -940,6 +953,13 @@ def reconcile(spark, sf_dir):
     return verify.reconcile(by_box, by_ring, ["field_id"], ["crop_type"], ["area_m2"])
 
 
+@query("comparison_report", ORACLES["reconcile"])
+def comparison_report(spark, sf_dir):
+    path = shared_path(spark, "report")
+    verify.comparison_report(reconcile(spark, sf_dir), path)
+    return spark.read.json(path)
+
+
 @query(
     "reconcile_mismatch",
     oracle_with("fields_m")
@@ -1253,6 +1273,21 @@ def short_names(spark, sf_dir):
     )
 
 
+@query(
+    "written_once",
+    oracle_with("fields_ll")
+    + """ SELECT field_id, CASE field_id % 3 WHEN 0 THEN 'north' WHEN 1 THEN 'east' ELSE 'south' END AS part FROM fields_ll""",
+)
+def written_once(spark, sf_dir):
+    """The second write finds the first one's files and leaves them."""
+    path = shared_path(spark, "once")
+    parts = fixture(spark, sf_dir, "fields_ll").select(
+        "field_id", pick(["north", "east", "south"], F.col("field_id")).alias("part")
+    )
+    lake.write_once(parts, path)
+    return lake.write_once(parts.withColumn("part", F.lit("other")), path)
+
+
 @query("size_audit")
 def size_audit(spark, sf_dir):
     framed = fields_with_rings(spark, sf_dir, "fields_ll", crs.WGS84)

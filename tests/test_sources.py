@@ -224,6 +224,38 @@ def test_small_storage_helpers(spark, tmp_path):
     assert sizes["a"]["ratio_to_baseline"] == 1 and sizes["b"]["ratio_to_baseline"] > 1
 
 
+def test_files_hold_one_srid_each(spark, tmp_path):
+    ring = [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)]]
+    rows = [(i, f"a b%{i % 2}", ([4326, 32611][i % 2], ring)) for i in range(8)] + [(9, "x", (4326, None))]
+    df = spark.createDataFrame(rows, f"i int, part string, geom {GEOMETRY_TYPE}").repartition(2)
+    want = {(r["i"], r["geom"]["srid"]) for r in df.collect() if r["geom"]["rings"]}
+    for number, partition_by in enumerate((None, ["part"])):
+        path = str(tmp_path / str(number))
+        geoparquet.write_geoparquet(df, path, partition_by=partition_by)
+        back = geoparquet.read_geoparquet(spark, path)
+        assert {(r["i"], r["geom"]["srid"]) for r in back.collect() if r["geom"]["rings"]} == want
+        assert back.count() == 9
+    with pytest.raises(Exception, match="expected SRID 4326"):
+        geoparquet.write_geoparquet(df, str(tmp_path / "one"), 4326)
+
+
+def test_geoparquet_points_and_types(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2.0, 3.0), (2, -4.5, 6.25)], "i int, lon double, lat double")
+    geoparquet.write_geoparquet_points(df, str(tmp_path / "p"), 4326, "lon", "lat")
+    back = geoparquet.read_geoparquet_points(spark, str(tmp_path / "p")).orderBy("i").collect()
+    assert [(r["i"], r["x"], r["y"], r["srid"]) for r in back] == [(1, 2.0, 3.0, 4326), (2, -4.5, 6.25, 4326)]
+    kinds = {json.loads(r["geo"])["columns"]["geometry"]["geometry_types"][0] for r in geoparquet.footers(spark, str(tmp_path / "p")).collect()}
+    assert kinds == {"Point"}
+
+
+def test_overwrite_replaces_and_row_groups_are_large(spark, tmp_path):
+    path = str(tmp_path / "gp")
+    geoparquet.write_geoparquet(framed(spark, 50), path, 32611)
+    geoparquet.write_geoparquet(framed(spark, 30_000).coalesce(1), path, 32611, mode="overwrite")
+    (file,) = (tmp_path / "gp").glob("*.parquet")
+    assert pq.read_metadata(file).num_rows == 30_000 and pq.read_metadata(file).num_row_groups == 1
+
+
 def test_evolved_schema(spark, tmp_path):
     spark.range(2).write.parquet(str(tmp_path / "old"))
     spark.range(2, 4).withColumn("extra", F.lit("x")).write.parquet(str(tmp_path / "new"))
