@@ -276,8 +276,13 @@ def _save(rows: DataFrame, path: str, compression: str, partition_by: list[str]
 
 
 def _plain_path(path: Column) -> Column:
-    """Local paths come with one or three slashes, and escaped or not."""
-    return F.regexp_replace(F.url_decode(F.regexp_replace(path, r"\+", "%2B")), "^file:/+", "/")
+    """Local paths come with one slash or three."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def _decoded(path: Column) -> Column:
+    """The path in ``_metadata``, which is escaped as a URL; a plus sign is not."""
+    return F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
 
 
 def _with_srid(spark: SparkSession, path: str, srid: int | None) -> tuple[DataFrame, Column]:
@@ -292,8 +297,10 @@ def _with_srid(spark: SparkSession, path: str, srid: int | None) -> tuple[DataFr
     if len(codes) == 1:
         return raw, F.lit(codes[0])
     # one row per file
-    located = raw.withColumn("__path", _plain_path(F.col("_metadata.file_path")))
-    return located.join(known, "__path").drop("__path"), F.col(SRID_COLUMN)
+    located = raw.withColumn("__path", _plain_path(_decoded(F.col("_metadata.file_path"))))
+    lost = F.raise_error(F.concat(F.lit("no footer found for "), F.col("__path"))).cast("int")
+    met = located.join(known, "__path", "left").withColumn(SRID_COLUMN, F.coalesce(SRID_COLUMN, lost))
+    return met.drop("__path"), F.col(SRID_COLUMN)
 
 
 def read_geoparquet(spark: SparkSession, path: str, srid: int | None = None) -> DataFrame:
