@@ -12,8 +12,11 @@ from parcelgrid.llm.tokens import WordIds
 FILE = "word_bpe_49k.json"
 
 
+LIBRARY = Tokenizer.from_file(path(FILE))
+
+
 def plain_ids(text):
-    return Tokenizer.from_file(path(FILE)).encode(text or "", add_special_tokens=False).ids
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
 def test_cached_ids_are_the_library_s(texts):

@@ -10,9 +10,11 @@ from parcelgrid.llm import token_cache as C
 @pytest.mark.parametrize("file", ["piece_bpe_32k.model", "byte_bpe_50k.json"])
 def test_counts_are_the_library_s(docs, empty, clashing, file):
     if file.endswith(".model"):
-        count = lambda t: len(SentencePieceProcessor(model_file=path(file)).encode(t))
+        pieces = SentencePieceProcessor(model_file=path(file))
+        count = lambda t: len(pieces.encode(t))
     else:
-        count = lambda t: len(Tokenizer.from_file(path(file)).encode(t, add_special_tokens=False).ids)
+        library = Tokenizer.from_file(path(file))
+        count = lambda t: len(library.encode(t, add_special_tokens=False).ids)
     want = []
     for r in docs.collect():
         n = count(r.text or "")
