@@ -18,14 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from parcelgrid.llm.licence_texts import FULL_TEXTS
 from parcelgrid.llm.texts import slices, utf8
 
 LEAST = Fraction(4, 5)
 TOKEN = re.compile(rb"[a-z0-9]+")
 BLANK_LINE = re.compile(rb"\n[ \t\r]*\n")
 
-# Notices of public licences, by name.
-TEMPLATES = {
+# Notices, headers and full texts of public licences, by name.
+NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
@@ -60,6 +61,79 @@ TEMPLATES = {
     ),
 }
 
+#: Names and versions as short notices and headers write them.
+GNU = {
+    "GPL-2.0": ("General Public License", "2"),
+    "LGPL-2.1": ("Lesser General Public License", "2.1"),
+    "LGPL-3.0": ("Lesser General Public License", "3"),
+    "AGPL-3.0": ("Affero General Public License", "3"),
+}
+CREATIVE_COMMONS = {
+    f"CC-{code}-{version}": (code, words, version)
+    for code, words in {
+        "BY": "Attribution",
+        "BY-SA": "Attribution-ShareAlike",
+        "BY-NC": "Attribution-NonCommercial",
+        "BY-ND": "Attribution-NoDerivatives",
+        "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+        "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+    }.items()
+    for version in ("3.0", "4.0")
+}
+REACH = {"3.0": "Unported", "4.0": "International"}
+RELEASED = {
+    "BSD-2-Clause": "BSD 2-Clause License",
+    "BSD-3-Clause": "BSD 3-Clause License",
+    "BSL-1.0": "Boost Software License, Version 1.0",
+    "ISC-short": "ISC License",
+    "MPL-1.1": "Mozilla Public License, Version 1.1",
+    "MPL-2.0": "Mozilla Public License, Version 2.0",
+    "Unlicense": "Unlicense",
+    "Zlib": "zlib License",
+    "Artistic-1.0": "Artistic License 1.0",
+    "Artistic-2.0": "Artistic License 2.0",
+}
+
+
+def gnu_header(licence: str, version: str) -> str:
+    """The header for source files with one GNU licence named in it."""
+    found = NOTICES["GPL-3.0-header"].replace("version 3 of", f"version {version} of")
+    # up to 2.1, the lesser licence speaks of a library
+    found = found.replace("This program", "This library") if version == "2.1" else found
+    return found.replace("General Public License", licence)
+
+
+TEMPLATES = {
+    **NOTICES,
+    **{
+        name: f"This work is licensed under the GNU {licence}, version {version}."
+        for name, (licence, version) in GNU.items()
+    },
+    **{f"{name}-header": gnu_header(licence, version) for name, (licence, version) in GNU.items()},
+    **{f"{name}-short": f"Licensed under CC {code} {version}." for name, (code, _, version) in CREATIVE_COMMONS.items()},
+    **{
+        f"{name}-notice": f"This work is licensed under a Creative Commons {words} {version} {REACH[version]} License."
+        for name, (_, words, version) in CREATIVE_COMMONS.items()
+    },
+    **{name: f"Released under the {licence}." for name, licence in RELEASED.items()},
+    **{f"{name}-licensed": f"Licensed under the {licence}." for name, licence in RELEASED.items()},
+    "MIT-licensed": "Licensed under the MIT License.",
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+        "was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
+    "BSL-1.0-header": (
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy "
+        "at http://www.boost.org/LICENSE_1_0.txt)"
+    ),
+    "CC0-1.0": "This work is dedicated to the public domain under CC0 1.0 Universal.",
+    "CC0-1.0-short": "Licensed under CC0 1.0.",
+    **FULL_TEXTS,
+}
+#: A licence may have one text under two names; the first stays.
+_seen: set[str] = set()
+TEMPLATES = {n: t for n, t in TEMPLATES.items() if t not in _seen and not _seen.add(t)}
+
 
 def bigrams(unit: bytes) -> set[tuple[bytes, bytes]]:
     words = TOKEN.findall(unit.lower())

@@ -47,3 +47,26 @@ def test_against_all_templates(spark, docs, empty, clashing):
     plain = [(r.doc_id, *brute(r.text)) for r in docs.collect()]
     assert rows_of(L.scan(clashing)) == sorted(plain, key=repr)
     assert L.scan(empty).count() == 0
+
+
+def test_near_relatives_get_their_own_name(spark):
+    header = L.NOTICES["GPL-3.0-header"]
+    lesser = header.replace("General Public License", "Lesser General Public License")
+    affero = header.replace("General Public License", "Affero General Public License")
+    texts = {
+        "LGPL-3.0-header": lesser,
+        "AGPL-3.0-header": affero,
+        "GPL-2.0-header": header.replace("version 3 of", "version 2 of"),
+        "GPL-3.0-header": header,
+        "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+        "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
+        "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+        "BSD-3-Clause": "Released under the BSD 3-Clause License.",
+        "MPL-2.0": "Released under the Mozilla Public License, Version 2.0.",
+        "BSD-2-Clause-full": L.FULL_TEXTS["BSD-2-Clause-full"].replace("<year> <owner>", "2020 Someone"),
+        "BSD-3-Clause-full": L.FULL_TEXTS["BSD-3-Clause-full"].replace(". ", ".\n\n"),
+    }
+    assert {n for n in L.FULL_TEXTS} >= {"Apache-2.0-full", "GPL-2.0-full", "CC0-1.0-full", "Unlicense-full", "BSL-1.0-full"}
+    texts = L.FULL_TEXTS | texts
+    found = L.scan(spark.createDataFrame(list(texts.items()), "doc_id string, text string")).collect()
+    assert {r.doc_id: r.licence for r in found} == {n: n for n in texts}
