@@ -65,6 +65,12 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def register(path: str) -> str:
+    """Have ``path`` deleted with the intermediates of this thread."""
+    _written.paths.append(path)
+    return path
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -73,8 +79,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     folder stays until the ``intermediates`` block around it ends, or
     :func:`drop_intermediates` is called.
     """
-    path = shared_path(df.sparkSession, label)
-    _written.paths.append(path)
+    path = register(shared_path(df.sparkSession, label))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -29,13 +29,3 @@ def no_broadcast(spark, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-
-
-def plan_of(df) -> str:
-    import contextlib
-    import io
-
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.explain("formatted")
-    return out.getvalue()

@@ -4,7 +4,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import plan_of
+from plan_text import plan_of
 from pyspark.sql import functions as F
 
 from parcelgrid.functions import box as B

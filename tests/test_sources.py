@@ -2,7 +2,7 @@ import json
 
 import pyarrow.parquet as pq
 import pytest
-from conftest import plan_of
+from plan_text import plan_of
 from pyspark.sql import functions as F
 
 from parcelgrid.functions import box as B

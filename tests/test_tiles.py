@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from conftest import plan_of
+from plan_text import plan_of
 from pyspark.sql import functions as F
 
 from parcelgrid.operators import summaries, tiles, verify
