@@ -111,9 +111,20 @@ SELECT doc_id, licence, dice, CAST(line AS BIGINT) AS line, coalesce(n, 0) AS n_
 FROM d LEFT JOIN best ON d.r = best.r AND k = 1
 """
 
+EXACT_DEDUP = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS c FROM documents
+), g AS (
+  SELECT doc_id, c, first_value(doc_id) OVER (PARTITION BY c ORDER BY length(t) DESC, doc_id) AS keep_id,
+    count(*) OVER (PARTITION BY c) AS group_size FROM d
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(c) AS text_sha256 FROM g
+"""
+
 ORACLES = {
     "op2_topk": TOPK,
     "op6_url_filter": URL_FILTER,
     "op7_mixing": MIXING,
     "op9_licences": LICENCES,
+    "op13_exact_dedup": EXACT_DEDUP,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelgrid.llm.exact_dedup import exact_dedup_files
 from parcelgrid.llm.licences import scan
 from parcelgrid.llm.line_dedup import line_classes
 from parcelgrid.llm.mixing import mix
@@ -71,6 +72,11 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents"))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one that stays for its text, by keyed streaming state."""
+    return exact_dedup_files(spark, f"{sf_dir}/documents.parquet")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -84,5 +90,6 @@ QUERIES = {
         op8_token_cache,
         op9_licences,
         op10_repetition,
+        op13_exact_dedup,
     )
 }

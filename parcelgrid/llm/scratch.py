@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from parcelgrid.session import shared_path
+from parcelgrid.session import register, shared_path
 
 #: Shuffle files of a finished write are of no further use; Spark then drops them at once.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -15,7 +15,7 @@ class Kept:
 
     def __init__(self, df: DataFrame, label: str) -> None:
         spark = df.sparkSession
-        self.path = shared_path(spark, label)
+        self.path = register(shared_path(spark, label))
         before = spark.conf.get(CLEANUP, None)
         spark.conf.set(CLEANUP, "true")
         try:

@@ -37,7 +37,7 @@ def simhash(text):
 
 def line_set(line, size=10):
     line = line.strip(" \t\x0b\f\r").lower()
-    return {line[m.start() : m.start() + size] for m in re.finditer("[^ \t\x0b\f\r]+", line)}
+    return {line[i : i + size] for i in range(max(1, len(line) - size + 1))}
 
 
 def alike(a, b):

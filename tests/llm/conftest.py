@@ -7,23 +7,9 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long"
-SMALL = "/root/testdata/sf0.001"
-
-# words that mean nothing, so that random texts share few runs
-POOL = [a + b + c for a in "bdfglmnprstvz" for b in "aeiou" for c in ("n", "s", "r", "lt", "mp")]
-
-
-def sentence(rng, n):
-    return " ".join(rng.choice(POOL) for _ in range(n))
-
-
-def edited(rng, text, n):
-    own = text.split(" ")
-    for at in rng.sample(range(len(own)), n):
-        own[at] = rng.choice(POOL)
-    return " ".join(own)
+from helpers import edited, sentence  # noqa: E402
 
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 @pytest.fixture(scope="session")
 def texts():
@@ -58,7 +44,3 @@ def clashing(docs):
     """The same with further columns, named as operators name their own."""
     names = ["row", "fp", "id", "key", "size", "n", "kept", "rule", "_text", "digest", "ids", "source_size", "c0", "line"]
     return docs.selectExpr("*", *(f"'x' AS `{name}`" for name in names))
-
-
-def rows_of(df):
-    return sorted(map(tuple, df.collect()), key=repr)

@@ -2,7 +2,7 @@ import random
 import re
 from fractions import Fraction
 
-from conftest import rows_of, sentence
+from helpers import rows_of, sentence
 
 from parcelgrid.llm import licences as L
 

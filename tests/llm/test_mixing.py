@@ -2,7 +2,7 @@ import random
 
 import pytest
 from brute import targets, words
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import functions as F
 
 from parcelgrid.llm import mixing as M

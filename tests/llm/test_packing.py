@@ -2,7 +2,7 @@ import random
 import zlib
 
 import numpy as np
-from conftest import rows_of
+from helpers import rows_of
 from public_tokenizers import path
 from tokenizers import Tokenizer
 

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 from brute import components, repeats, simhash, words
-from conftest import SMALL, rows_of
+from helpers import SMALL, rows_of
 
 import __spark_entry__ as contract
 import corpus_pipeline as pipeline

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 from brute import repeats, words
-from conftest import rows_of, sentence
+from helpers import rows_of, sentence
 
 from parcelgrid.llm.repetition import Rules, describe, repetition, suffix_order, without_repetitive
 

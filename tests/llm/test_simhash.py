@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 from brute import components, simhash
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import functions as F
 
 from parcelgrid.llm import simhash as S

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from public_tokenizers import path
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer

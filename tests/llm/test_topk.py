@@ -2,7 +2,7 @@ import math
 import random
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 
 from parcelgrid.llm import topk as K
 

@@ -2,7 +2,7 @@ import math
 import zlib
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import functions as F
 
 from parcelgrid.llm import toxicity as X

@@ -1,7 +1,7 @@
 import random
 import re
 
-from conftest import rows_of
+from helpers import rows_of
 
 from parcelgrid.llm import url_filter as U
 
@@ -71,7 +71,7 @@ def test_urls_against_brute_force(spark):
 
 
 def test_page_bodies_are_not_read(spark):
-    from conftest import SMALL
+    from helpers import SMALL
 
     plan = U.judge(spark.read.parquet(f"{SMALL}/pages.parquet"))._jdf.queryExecution().toString()
     assert "ReadSchema: struct<page_id:bigint,url:string>" in plan
