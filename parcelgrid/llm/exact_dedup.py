@@ -36,8 +36,11 @@ BATCH_BYTES = 64 << 30
 BROADCAST_ROWS = 100_000
 #: A group with more than one in so many of all rows is met by broadcast: there are never more such groups than this.
 HOT_SHARE = 1000
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # no disk is set aside for logs: a store may be small, and there is one per partition
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -60,12 +63,14 @@ def locator() -> list[Column]:
 @contextmanager
 def disk_state(spark: SparkSession) -> Iterator[None]:
     """A block in which streams keep their state in RocksDB."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE}
+    for key, value in STATE.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def stream(spark: SparkSession, path: str, schema: T.StructType, batch_bytes: int) -> DataFrame:
