@@ -3,9 +3,9 @@
 Each round points every node's larger neighbours at its smallest one, then the
 smaller ones, which halves the depth of every chain of links. It ends when a
 round changes nothing, and the links form stars. All steps are grouped
-aggregates and equi-joins; a node with very many links is one row of the
-aggregate and a skewed join key that adaptive execution splits. Nothing but a
-count and a checksum per round reaches the driver.
+aggregates and equi-joins; the links of a node with very many are aggregated
+before they are shuffled and meet its row by broadcast. Nothing but a count and
+a checksum per round reaches the driver.
 """
 
 from __future__ import annotations
@@ -13,23 +13,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelgrid.llm import hot
 from parcelgrid.llm.scratch import Kept
 
 
-def large_star(links: DataFrame) -> DataFrame:
+def with_least(links: DataFrame, least: DataFrame, count: int) -> DataFrame:
+    """``u, v, m``: the ``count`` links with the least ``m`` of their ``u``, from ``u, m, n``."""
+    if count <= hot.BROADCAST_ROWS:  # there are no more rows of least than links
+        return links.join(F.broadcast(least), "u")
+    return hot.joined(links, Kept(least, "least").df, ["u"], F.col("n"), count)
+
+
+def large_star(links: DataFrame, count: int) -> DataFrame:
     """Point each node's larger neighbours at the smallest among it and its neighbours."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return (
-        both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
-    )
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    least = least.select("u", F.least("u", "m").alias("m"), "n")
+    met = with_least(both.filter("v > u"), least, 2 * count)
+    return met.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
 
 
-def small_star(links: DataFrame) -> DataFrame:
+def small_star(links: DataFrame, count: int) -> DataFrame:
     """Point each node and its smaller neighbours at the smallest of them. Needs u > v."""
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
-    moved = links.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.withColumnRenamed("m", "v")).distinct()
+    least = links.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    met = with_least(links, least, count)
+    moved = met.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
 def connected(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -40,9 +49,11 @@ def connected(links: DataFrame, a: str, b: str) -> DataFrame:
     give no rows.
     """
     links = links.filter(f"`{a}` != `{b}`").select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    before = None
+    before, last, count = None, None, links.count()
     while True:
-        current = Kept(small_star(large_star(links)), "links")
+        large = large_star(links, count)
+        # a star keeps no more links than it gets
+        current = Kept(small_star(large, count) if count <= hot.BROADCAST_ROWS else small_star(Kept(large, "large-star").df, count), "links")
         state = current.df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if before is not None:
             before.drop()
@@ -50,4 +61,4 @@ def connected(links: DataFrame, a: str, b: str) -> DataFrame:
                 return current.df.select(F.col("u").alias("node"), F.col("v").alias("root"))
         if not state[0]:
             return current.df.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        links, before, last = current.df, current, state
+        links, before, last, count = current.df, current, state, state[0]
