@@ -101,13 +101,14 @@ def _farthest(a: Box, b: Box) -> Column:
     return F.sqrt(dx * dx + dy * dy)
 
 
-def distinct_boxes(boxes: DataFrame, id_col: str, carry: list[str]) -> DataFrame:
-    """One row per distinct box, that of the lowest id: copies can never win a tie."""
+def distinct_boxes(boxes: DataFrame, id_col: str, carry: list[str], same: list[str]) -> DataFrame:
+    """One row per distinct box and ``same`` columns, that of the lowest id: copies can never win a tie."""
     fields = [F.col(id_col).alias("poly_id"), *(F.col(c) for c in carry)]
     return (
         boxes.where(is_known(box()))
-        .groupBy(*BOX_FIELDS)
+        .groupBy(*BOX_FIELDS, *same)
         .agg(F.min(F.struct(*fields)).alias("item"))
+        .drop(*same)
     )
 
 
@@ -148,9 +149,14 @@ def _steps_for(items: DataFrame, grid: Grid) -> int:
     return min(MAX_STEPS, max([even, *(step + 1 for step in overfull)]))
 
 
-def build_pyramid(boxes: DataFrame, box_id: str = "field_id", carry: list[str] | None = None) -> BoxPyramid:
-    """Place the boxes; two aggregates decide the grid, nothing else is collected."""
-    items = materialise(distinct_boxes(boxes, box_id, carry or []), "boxes")
+def build_pyramid(
+    boxes: DataFrame, box_id: str = "field_id", carry: list[str] | None = None, same: list[str] | None = None
+) -> BoxPyramid:
+    """Place the boxes; two aggregates decide the grid, nothing else is collected.
+
+    Equal boxes are copies of each other if they also agree in the ``same`` columns.
+    """
+    items = materialise(distinct_boxes(boxes, box_id, carry or [], same or []), "boxes")
     b = box()
     centre = Box(centroid_x(b), centroid_y(b), centroid_x(b), centroid_y(b))
     stats = items.agg(F.count(F.lit(1)).alias("n"), *total_bounds(centre)).first()
@@ -251,8 +257,12 @@ def query_groups(points: DataFrame) -> DataFrame:
     )
 
 
-def group_candidates(groups: DataFrame, pyramid: BoxPyramid) -> DataFrame:
-    """For each group, every box that is nearest to at least one place in it."""
+def group_candidates(groups: DataFrame, pyramid: BoxPyramid, far: Column | None = None) -> DataFrame:
+    """For each group, every box that is nearest to at least one place in it.
+
+    ``far`` is no less than the distance from any place of the group to what is
+    in the box; without it the box itself is meant.
+    """
     grid = pyramid.grid
     # the top cell of every group, computed so that the first step is an equi-join too
     top_x, top_y = (_above(grid.inside(F.col(c)), grid.steps) for c in ("gx", "gy"))
@@ -265,7 +275,7 @@ def group_candidates(groups: DataFrame, pyramid: BoxPyramid) -> DataFrame:
     for step in range(grid.steps):
         frontier = _descend(frontier, pyramid, step)
     homes = broadcast_if_small(pyramid.items, grid.n_boxes)
-    near, far = gap(box("g_"), box()), reach(box("g_"), box())
+    near, far = gap(box("g_"), box()), reach(box("g_"), box()) if far is None else far
     best = F.min("high").over(Window.partitionBy("gx", "gy"))
     return (
         frontier.select("gx", "gy", *GROUP_BOX, "ub", "step", "nx", "ny")
@@ -285,6 +295,26 @@ def group_candidates(groups: DataFrame, pyramid: BoxPyramid) -> DataFrame:
     )
 
 
+def points_and_candidates(points: DataFrame, pyramid: BoxPyramid, far: Column | None = None) -> DataFrame:
+    """``query_id, x, y`` with the candidates of the point's group: ``item`` and box, null where there is none."""
+    grid = pyramid.grid
+    points = points.withColumns(
+        {"gx": grid.index(F.col("x"), grid.x0), "gy": grid.index(F.col("y"), grid.y0)}
+    )
+    # used twice below; written once, so the points are not read and grouped again
+    groups = materialise(query_groups(points), "groups")
+    candidates = group_candidates(groups, pyramid, far)
+    return salted_join(points, candidates, ["gx", "gy"], "query_id", "left", groups.select("gx", "gy", "n"))
+
+
+def located(queries: DataFrame, query_id: str, x: str, y: str) -> DataFrame:
+    """``query_id, x, y``, with positions that are not finite as null."""
+    return queries.select(
+        F.col(query_id).alias("query_id"),
+        *(F.when(F.abs(c) < F.lit(float("inf")), F.col(c)).alias(n) for c, n in ((x, "x"), (y, "y"))),
+    )
+
+
 def nearest_box(
     queries: DataFrame,
     boxes: DataFrame | BoxPyramid,
@@ -303,20 +333,7 @@ def nearest_box(
     """
     carry = carry or {}
     pyramid = boxes if isinstance(boxes, BoxPyramid) else build_pyramid(boxes, box_id, list(carry))
-    grid = pyramid.grid
-    points = queries.select(
-        F.col(query_id).alias("query_id"),
-        *(F.when(F.abs(c) < F.lit(float("inf")), F.col(c)).alias(n) for c, n in ((x, "x"), (y, "y"))),
-    )
-    points = points.withColumns(
-        {"gx": grid.index(F.col("x"), grid.x0), "gy": grid.index(F.col("y"), grid.y0)}
-    )
-    # used twice below; written once, so the points are not read and grouped again
-    groups = materialise(query_groups(points), "groups")
-    candidates = group_candidates(groups, pyramid)
-    pairs = salted_join(
-        points, candidates, ["gx", "gy"], "query_id", "left", groups.select("gx", "gy", "n")
-    )
+    pairs = points_and_candidates(located(queries, query_id, x, y), pyramid)
     found = F.struct(distance_to_point(box(), F.col("x"), F.col("y")).alias("d"), F.col("item"))
     best = pairs.groupBy("query_id").agg(
         F.min(F.when(F.col("item").isNotNull(), found)).alias("best")

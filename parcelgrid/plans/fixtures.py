@@ -49,11 +49,40 @@ SELECT c_custkey AS point_id,
 FROM customer
 """
 
+#: Outlines that are no rectangles, of whole coordinates: 0 an L, 1 a square with a hole, 2 a triangle.
+#: ``s`` is a third of the extent's side.
+SHAPES_M = """
+SELECT p_partkey AS field_id, p_partkey % 3 AS kind,
+       CAST((p_partkey * 7919 + 13) % 998000 AS DOUBLE) AS x0,
+       CAST((p_partkey * 104729 + 37) % 998000 AS DOUBLE) AS y0,
+       CAST(2000 + (p_partkey * 31) % 6007 AS DOUBLE) AS s
+FROM part
+"""
+
+#: Combs: a base of height ``b`` with 2,500 teeth up to ``h``, each ``u`` wide and as far from the next.
+COMBS_M = """
+SELECT p_partkey AS field_id,
+       CAST((p_partkey * 7919 + 13) % 900000 AS DOUBLE) AS x0,
+       CAST((p_partkey * 104729 + 37) % 800000 AS DOUBLE) AS y0,
+       CAST(20 AS DOUBLE) AS u, CAST(1000 + p_partkey % 977 AS DOUBLE) AS b, CAST(200000 AS DOUBLE) AS h
+FROM part WHERE p_partkey % 100 = 3
+"""
+
+SPOTS_M = """
+SELECT event_id AS query_id,
+       CAST((event_id * 15485863 + 101) % 1000000 AS DOUBLE) AS x,
+       CAST((event_id * 32452843 + 307) % 1000000 AS DOUBLE) AS y
+FROM events
+"""
+
 FIXTURE_SQL = {
     "fields_m": (FIELDS_M, "part"),
     "sensors_m": (SENSORS_M, "events"),
     "fields_ll": (FIELDS_LL, "part"),
     "points_ll": (POINTS_LL, "customer"),
+    "shapes_m": (SHAPES_M, "part"),
+    "combs_m": (COMBS_M, "part"),
+    "spots_m": (SPOTS_M, "events"),
 }
 
 

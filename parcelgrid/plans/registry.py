@@ -1296,3 +1296,6 @@ def size_audit(spark, sf_dir):
         paths[f"geoparquet_{codec}"] = shared_path(spark, f"sizes-{codec}")
         geoparquet.write_geoparquet(framed, paths[f"geoparquet_{codec}"], crs.WGS84, compression=codec)
     return lake.size_audit(spark, paths, "geojson")
+
+
+from parcelgrid.plans import shape_queries  # noqa: E402, F401  registers its queries with the above
