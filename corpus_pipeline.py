@@ -10,6 +10,7 @@ from parcelgrid.llm.mixing import mixed
 from parcelgrid.llm.packing import pack
 from parcelgrid.llm.repetition import without_repetitive
 from parcelgrid.llm.simhash import one_per_group
+from parcelgrid.session import materialise
 
 
 def with_length(docs: DataFrame) -> DataFrame:
@@ -57,6 +58,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn, from the table ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        # written and read back: nothing of a stage is worked out again by the next
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
