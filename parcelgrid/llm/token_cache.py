@@ -3,10 +3,11 @@
 A text's key is the MD5 of its normalised content together with the digest of
 the tokenizer file, so another version of the tokenizer never reads old counts.
 Texts are reduced to their keys, keys are joined to the stored counts, and only
-the texts of keys found nowhere are encoded, once each, and appended.
+the texts of keys found nowhere are read, encoded once each, and appended.
 
 The misses travel by key. Before that shuffle each task lets a key pass once
-only, so a text that makes up a third of all rows is sent once per task.
+only, so a text that makes up a third of all rows is sent once per task; the
+counts of such keys come back to their rows by broadcast.
 """
 
 from __future__ import annotations
@@ -18,15 +19,16 @@ from functools import cache
 import pyarrow as pa
 import sentencepiece
 from public_tokenizers import path
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from parcelgrid.llm.hot import joined, small
 from parcelgrid.llm.scratch import Kept
 from parcelgrid.llm.texts import slices
-from parcelgrid.session import shared_path
+from parcelgrid.session import register, shared_path
 
-COUNTS = "digest string, version string, n_tokens long"
+COUNTS = "digest string, n_tokens long, version string"
 
 
 @cache
@@ -70,22 +72,29 @@ def once_per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield batch.take(pa.array(rows))
 
 
-def encode_misses(texts: DataFrame, stored: DataFrame, file: str) -> DataFrame:
-    """``digest, version, n_tokens`` of each distinct text whose digest is not stored."""
-    misses = texts.join(stored.select("digest"), "digest", "left_anti")
-    by_key = misses.mapInArrow(once_per_task, misses.schema).repartition("digest")
+def encode_misses(texts: DataFrame, missing: DataFrame, file: str) -> DataFrame:
+    """``digest, n_tokens`` of each missing digest, its text taken from ``digest, text``."""
+    alone = texts.mapInArrow(once_per_task, texts.schema)
+    if small(missing):
+        by_key = alone.join(F.broadcast(missing), "digest", "left_semi").repartition("digest")
+    else:  # the join deals the texts out by digest itself
+        by_key = alone.join(missing, "digest", "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in once_per_task(batches):
             for part in slices([batch], "text"):
                 counts = counter(file)(part.column("text").to_pylist())
-                keys = part.column("digest")
-                yield pa.RecordBatch.from_arrays(
-                    [keys, pa.array([version(file)] * len(keys)), pa.array(counts, pa.int64())],
-                    ["digest", "version", "n_tokens"],
-                )
+                yield pa.RecordBatch.from_arrays([part.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
 
-    return by_key.mapInArrow(count, COUNTS)
+    return by_key.mapInArrow(count, "digest string, n_tokens long")
+
+
+def stored_counts(spark: SparkSession, folder: str, file: str) -> DataFrame:
+    """``digest, n_tokens`` of one tokenizer: its own part of the cache."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    every = spark.read.schema(COUNTS).parquet(folder)
+    return every.filter(F.col("version") == version(file)).select("digest", "n_tokens")
 
 
 def token_counts(
@@ -98,26 +107,29 @@ def token_counts(
 ) -> DataFrame:
     """``id, n_bytes, n_tokens, over_limit``, one row per row of ``docs``.
 
-    Counts are read from the Parquet table at ``cache_path`` and those missing
-    are appended to it; without a path the cache starts out empty. A null text
+    Counts are read from the Parquet table at ``cache_path``, a folder per
+    tokenizer version, and those missing are appended to it; without a path the
+    cache starts out empty. Only digests meet the cache: texts are read again for
+    the missing ones, and if none is missing no text is shuffled. A null text
     is the empty one, whose count the library gives as well. Equal texts share
     one count, an empty table appends and gives nothing, other columns are not
     looked at. Writers at the same time may append a key twice, with one count.
     """
     spark = docs.sparkSession
-    folder = cache_path or shared_path(spark, "token-cache")
-    texts = docs.select(
-        docs[id_col].alias("id"), normalised(docs[text_col]).alias("text"), digest(docs[text_col]).alias("digest")
-    )
-    spark.createDataFrame([], COUNTS).write.mode("append").parquet(folder)
-    known = spark.read.schema(COUNTS).parquet(folder).filter(F.col("version") == version(tokenizer))
-    found = Kept(encode_misses(texts.select("digest", "text"), known, tokenizer), "misses")
-    found.df.write.mode("append").parquet(folder)
-    found.drop()
-    stored = spark.read.schema(COUNTS).parquet(folder).filter(F.col("version") == version(tokenizer))
-    counts = stored.groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
-    return (
-        texts.select("id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-        .join(counts, "digest")
-        .select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    folder = cache_path or register(shared_path(spark, "token-cache"))
+    text = docs[text_col]
+    length = F.octet_length(normalised(text)).cast("long")
+    keys = Kept(docs.select(docs[id_col].alias("id"), length.alias("n_bytes"), digest(text).alias("digest")), "keys").df
+    groups = Kept(keys.groupBy("digest").agg(F.count("*").alias("n")), "digests").df
+    missing = Kept(groups.select("digest").join(stored_counts(spark, folder, tokenizer), "digest", "left_anti"), "missing")
+    if not missing.df.isEmpty():
+        texts = docs.select(digest(text).alias("digest"), normalised(text).alias("text"))
+        found = Kept(encode_misses(texts, missing.df, tokenizer), "misses")
+        found.df.withColumn("version", F.lit(version(tokenizer))).write.partitionBy("version").mode("append").parquet(folder)
+        found.drop()
+    missing.drop()
+    counts = stored_counts(spark, folder, tokenizer).groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
+    counts = Kept(counts.join(groups, "digest"), "counts").df
+    return joined(keys, counts, ["digest"], F.col("n"), keys.count()).select(
+        F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )

@@ -4,6 +4,7 @@ from public_tokenizers import path
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
+from parcelgrid.llm import hot
 from parcelgrid.llm import token_cache as C
 
 
@@ -36,8 +37,26 @@ def test_only_misses_are_encoded(spark, docs, tmp_path):
     whole = spark.read.parquet(folder)
     assert whole.count() == docs.selectExpr("coalesce(text, '')").distinct().count()
     # what is stored is believed, so nothing was encoded anew
-    whole.selectExpr("digest", "version", "-1L AS n_tokens").write.parquet(str(tmp_path / "marked"))
+    marked = whole.selectExpr("digest", "version", "-1L AS n_tokens")
+    marked.write.partitionBy("version").parquet(str(tmp_path / "marked"))
     assert {r.n_tokens for r in C.token_counts(docs, str(tmp_path / "marked")).collect()} == {-1}
     # another tokenizer's counts are no hits
     other = C.token_counts(docs, str(tmp_path / "marked"), tokenizer="byte_bpe_50k.json")
     assert other.filter("n_tokens = -1").count() == 0
+
+
+def test_full_cache_reads_no_text_again(docs, tmp_path, monkeypatch):
+    folder = str(tmp_path / "cache")
+    first = rows_of(C.token_counts(docs, folder))
+    monkeypatch.setattr(C, "encode_misses", None)
+    assert rows_of(C.token_counts(docs, folder)) == first
+
+
+def test_joins_that_shuffle(docs, tmp_path, monkeypatch):
+    """Many misses, and a hot text among them."""
+    monkeypatch.setattr(hot, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(hot, "HOT_SHARE", 20)
+    want = rows_of(C.token_counts(docs, str(tmp_path / "a")))
+    assert len(want) == docs.count()
+    monkeypatch.undo()
+    assert rows_of(C.token_counts(docs, str(tmp_path / "b"))) == want
