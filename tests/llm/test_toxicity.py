@@ -1,8 +1,10 @@
 import math
+import random
 import zlib
+from collections import Counter
 
 import pytest
-from helpers import rows_of
+from helpers import rows_of, sentence
 from pyspark.sql import functions as F
 
 from parcelgrid.llm import toxicity as X
@@ -65,3 +67,83 @@ def test_odd_tables(spark, docs, empty, clashing):
     assert found.count() == docs.count()
     assert rows_of(found) == rows_of(X.toxicity(clashing, marks.selectExpr("*", "1 AS id", "2 AS text")))
     assert X.toxicity(empty, marks).count() == 0
+
+
+def plain_values(train, texts):
+    """Kneser-Ney in plain Python: the value of each text, from ``(text, toxic)`` rows."""
+    cut = lambda t: X.LETTERS.findall((t or "").lower())
+    grams = [Counter(), Counter()]
+    for text, toxic in train:
+        own = cut(text)
+        grams[toxic].update(set(zip([None, *own], own)))
+    every = set(grams[0]) | set(grams[1])
+    kinds = [Counter(w for _, w in g) for g in grams]
+    shared = Counter(w for _, w in every)
+    after = [Counter(), Counter()]
+    follow = [Counter(), Counter()]
+    for y in (0, 1):
+        for (u, _), n in grams[y].items():
+            after[y][u] += n
+            follow[y][u] += 1
+    total, all_kinds = [sum(k.values()) for k in kinds], sum(shared.values())
+
+    def cut_off(counts):
+        ones, twos = (sum(n == k for n in counts.values()) for k in (1, 2))
+        return ones / (ones + 2 * twos) if ones and twos else 0.75
+
+    of_words, of_grams = [cut_off(k) for k in kinds], [cut_off(g) for g in grams]
+
+    def word(y, w):
+        return max(kinds[y][w] - of_words[y], 0) / total[y] + of_words[y] * len(kinds[y]) / total[y] * shared[w] / all_kinds
+
+    def both(y, u, w):
+        if not after[y][u]:
+            return word(y, w)
+        return (max(grams[y][u, w] - of_grams[y], 0) + of_grams[y] * follow[y][u] * word(y, w)) / after[y][u]
+
+    def sure(bad, good, share):
+        n = bad + good
+        s = 2 * sum(k * math.log(k / (n * p)) for k, p in ((bad, share), (good, 1 - share)) if k)
+        return 1 / (1 + math.exp((X.EVIDENCE - s) / X.WIDTH))
+
+    def gain(u, w):
+        if w not in shared:
+            return 0.0
+        alone = sure(kinds[1][w], kinds[0][w], total[1] / sum(total)) * math.log(word(1, w) / word(0, w))
+        one = alone if abs(alone) >= X.RESOLUTION else 0.0
+        if grams[0][u, w] + grams[1][u, w] < X.LEAST:
+            return one
+        t, o = after[1][u] * word(1, w), after[0][u] * word(0, w)
+        part = sure(grams[1][u, w], grams[0][u, w], min(max(t / (t + o), 1e-9), 1 - 1e-9))
+        pair = part * math.log(both(1, u, w) / both(0, u, w)) + (1 - part) * alone
+        return pair if abs(pair - alone) >= X.RESOLUTION else one
+
+    out = []
+    for text in texts:
+        own = cut(text)
+        out.append(sum(gain(u, w) for u, w in zip([None, *own], own)) / len(own) if own else 0.0)
+    return out
+
+
+def test_values_are_those_of_plain_models(spark, texts, monkeypatch):
+    rng = random.Random(12)
+    train = [(sentence(rng, 30) + (" you scum" if k % 4 == 0 else " you see"), int(k % 4 == 0)) for k in range(60)]
+    train += [(t, k % 2) for k, t in enumerate(texts)] + [("only once", 1)]
+    asked = [t for t, _ in train] + ["you scum", "only", "once more", "unheard of", None, ""]
+    want = plain_values(train, asked)
+    entries = X.model(spark.createDataFrame(train, "text string, toxic int").repartition(3))
+    docs = spark.createDataFrame(list(enumerate(asked)), "id long, text string").repartition(3)
+    got = {r.id: r.value for r in X.values(docs, entries).collect()}
+    assert all(math.isclose(got[k], v, rel_tol=1e-9, abs_tol=1e-9) for k, v in enumerate(want))
+    # an expression of a single toxic text counts, a little; one of many counts fully
+    assert 0 < 2 * got[asked.index("only")] < got[asked.index("you scum")]
+
+
+def test_one_toxic_text_raises_the_score(data):
+    docs, labels = data
+    once = docs.limit(1).selectExpr("-1L AS doc_id", "'Zorgblatt ' || text AS text", "lang", "source", "n_chars")
+    asked = docs.limit(1).selectExpr("-7L AS doc_id", "'zorgblatt' AS text", "lang", "source", "n_chars")
+    blank = docs.limit(1).selectExpr("-8L AS doc_id", "'' AS text", "lang", "source", "n_chars")
+    marks = labels.select("doc_id", "toxic").unionByName(labels.limit(1).selectExpr("-1L AS doc_id", "1 AS toxic"))
+    found = {r.doc_id: r.score for r in X.toxicity(docs.unionByName(once).unionByName(asked).unionByName(blank), marks).collect()}
+    assert zlib.crc32(b"-1") % 3 != 1 and found[-7] > found[-8]
