@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from parcelgrid.functions.box import Box, QUADRANT_SEGMENTS, as_struct
 from parcelgrid.functions.scalar import lit_double
+from parcelgrid.functions.simple import rings_are_simple
 
 VERTEX_TYPE = "struct<x:double,y:double>"
 RING_TYPE = f"array<{VERTEX_TYPE}>"
@@ -329,36 +330,6 @@ def _segments_touch(p, q) -> Column:
     )
 
 
-def _ring_is_simple(ring: Column) -> Column:
-    """No two edges meet other than neighbours in their shared vertex."""
-    return let(edges(ring), _edges_are_simple)
-
-
-def _edges_are_simple(e: Column) -> Column:
-    n = F.size(e)
-
-    def folds_back(i):
-        # neighbours may only share the vertex, not run back over each other
-        p, q = F.get(e, i), F.get(e, F.pmod(i + 1, n))
-        ax, ay = p.getField("a").getField("x"), p.getField("a").getField("y")
-        bx, by = p.getField("b").getField("x"), p.getField("b").getField("y")
-        cx, cy = q.getField("b").getField("x"), q.getField("b").getField("y")
-        backwards = (bx - ax) * (cx - bx) + (by - ay) * (cy - by) < 0
-        return (_turn(ax, ay, bx, by, cx, cy) == 0) & backwards
-
-    def crosses_later(i):
-        later = F.when(
-            i + 2 <= n - 1, F.sequence(i + 2, n - 1)
-        ).otherwise(F.array().cast("array<int>"))
-        return F.exists(
-            later,
-            lambda j: ~((i == 0) & (j == n - 1)) & _segments_touch(F.get(e, i), F.get(e, j)),
-        )
-
-    indexes = F.sequence(F.lit(0), n - 1)
-    return ~F.exists(indexes, lambda i: folds_back(i) | crosses_later(i))
-
-
 def _ring_is_closed(ring: Column) -> Column:
     first, last = F.get(ring, F.lit(0)), F.element_at(ring, -1)
     return (
@@ -382,8 +353,11 @@ def _ring_is_finite(ring: Column) -> Column:
 
 
 def is_valid(rings: Column) -> Column:
-    """Closed finite simple rings of positive area, each hole inside the shell."""
-    # repeated vertices are allowed: they are dropped before edges are compared
+    """Closed finite simple rings of positive area, each hole inside the shell.
+
+    Whether rings are simple is worked out in Arrow batches, the rest in place.
+    """
+    # repeated vertices are allowed: they are dropped before corners are counted
     def distinct_run(ring):
         return F.filter(
             ring,
@@ -394,12 +368,7 @@ def is_valid(rings: Column) -> Column:
 
     def ring_ok(ring):
         return F.when(~_ring_is_closed(ring) | ~_ring_is_finite(ring), F.lit(False)).otherwise(
-            let(
-                distinct_run(ring),
-                lambda r: F.when(F.size(r) < 4, F.lit(False)).otherwise(
-                    (signed_ring_area(r) != 0) & _ring_is_simple(r)
-                ),
-            )
+            let(distinct_run(ring), lambda r: (F.size(r) >= 4) & (signed_ring_area(r) != 0))
         )
 
     def holes_inside(g):
@@ -415,15 +384,14 @@ def is_valid(rings: Column) -> Column:
             pairs, lambda p: _rings_overlap(p.getField("h"), p.getField("k"))
         )
 
-    def valid(g):
-        return (
-            F.when(g.isNull(), F.lit(None).cast("boolean"))
-            .when(F.size(g) == 0, F.lit(False))
-            .when(~F.forall(g, ring_ok), F.lit(False))
-            .otherwise(holes_inside(g))
-        )
-
-    return let(rings, valid)
+    return (
+        F.when(rings.isNull(), F.lit(None).cast("boolean"))
+        .when(F.size(rings) == 0, F.lit(False))
+        .when(~F.forall(rings, ring_ok), F.lit(False))
+        .when(~rings_are_simple(rings), F.lit(False))
+        .when(F.size(rings) == 1, F.lit(True))
+        .otherwise(let(rings, holes_inside))
+    )
 
 
 def _properly_cross(p, q) -> Column:

@@ -50,6 +50,8 @@ MAX_STEPS = 12
 #: Boxes aimed at per finest cell, and how many are put up with.
 TARGET_PER_CELL = 8
 TOLERATED_PER_CELL = 64
+#: Largest side, in bytes, that is broadcast.
+BROADCAST_BYTES = 32 << 20
 
 GROUP_BOX = [f"g_{name}" for name in BOX_FIELDS]
 
@@ -63,6 +65,8 @@ class Grid:
     side: float
     steps: int
     n_boxes: int
+    #: No carried row is wider than this, as text.
+    row_bytes: int = 0
 
     def index(self, value: Column, origin: float) -> Column:
         finest = self.side / (1 << BITS_PER_STEP * self.steps)
@@ -159,13 +163,14 @@ def build_pyramid(
     items = materialise(distinct_boxes(boxes, box_id, carry or [], same or []), "boxes")
     b = box()
     centre = Box(centroid_x(b), centroid_y(b), centroid_x(b), centroid_y(b))
-    stats = items.agg(F.count(F.lit(1)).alias("n"), *total_bounds(centre)).first()
+    width = F.max(F.octet_length(F.to_json("item"))).alias("width")
+    stats = items.agg(F.count(F.lit(1)).alias("n"), width, *total_bounds(centre)).first()
     if stats["n"] == 0:
         grid = Grid(0.0, 0.0, 1.0, 0, 0)
     else:
         extent = max(stats["maxx"] - stats["minx"], stats["maxy"] - stats["miny"])
         side = extent * (1 + 1e-9) if extent > 0 else 1.0
-        grid = Grid(stats["minx"], stats["miny"], side, MAX_STEPS, stats["n"])
+        grid = Grid(stats["minx"], stats["miny"], side, MAX_STEPS, stats["n"], stats["width"])
         grid = replace(grid, steps=_steps_for(items, grid))
     placed = _placed(items, grid)
     up = F.lit(grid.steps) - F.col("step")
@@ -274,7 +279,9 @@ def group_candidates(groups: DataFrame, pyramid: BoxPyramid, far: Column | None
     )
     for step in range(grid.steps):
         frontier = _descend(frontier, pyramid, step)
-    homes = broadcast_if_small(pyramid.items, grid.n_boxes)
+    # what is carried may be wide: the bound is on bytes too
+    narrow = grid.n_boxes * (grid.row_bytes + 64) <= BROADCAST_BYTES
+    homes = broadcast_if_small(pyramid.items, grid.n_boxes) if narrow else pyramid.items
     near, far = gap(box("g_"), box()), reach(box("g_"), box()) if far is None else far
     best = F.min("high").over(Window.partitionBy("gx", "gy"))
     return (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelgrid.functions import edges as E
 from parcelgrid.functions import ring as R
+from parcelgrid.functions import simple as S
 from parcelgrid.operators import edge_grid
 from parcelgrid.operators.nearest_ring import nearest_ring
 
@@ -139,7 +140,7 @@ def test_points_in_rings_against_fractions(spark, monkeypatch):
     rng = random.Random(8)
     polygons = [(i, moved(s, 20 * i, 5 * i)) for i, s in enumerate(SHAPES.values())]
     polygons += [(50, moved([r[:-1] for r in star(rng, 300, 40)], 40, 20)), (60, None), (61, [])]
-    spots = [(float(x) / 2, float(y) / 2) for x in range(-10, 300) for y in range(-40, 130)]
+    spots = rng.sample([(float(x) / 2, float(y) / 2) for x in range(-10, 300) for y in range(-40, 130)], 8000)
     points = spark.createDataFrame([(k, x, y) for k, (x, y) in enumerate(spots)] + [(-1, None, 1.0), (-2, math.nan, 1.0)], "query_id int, x double, y double")
     df = frame(spark, polygons).withColumnRenamed("id", "field_id")
     want = set()
@@ -187,3 +188,71 @@ def test_nearest_ring_against_all_polygons(spark):
     assert all(got[r.query_id][1] == pytest.approx(r.b[0], abs=1e-8) for r in want)
     none = nearest_ring(points, df.where("field_id >= 30")).collect()
     assert len(none) == len(rows) and all(r.nearest_poly_id is None for r in none)
+
+
+def plainly_simple(ring):
+    """Every pair of edges in whole numbers."""
+    points = [p for k, p in enumerate(ring) if k == 0 or p != ring[k - 1]]
+    es = list(zip(points, points[1:]))
+    turn = lambda a, b, c: (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+    within = lambda a, b, c: min(a[0], b[0]) <= c[0] <= max(a[0], b[0]) and min(a[1], b[1]) <= c[1] <= max(a[1], b[1])
+
+    def meet(p, q):
+        (a, b), (c, d) = p, q
+        o = [turn(a, b, c), turn(a, b, d), turn(c, d, a), turn(c, d, b)]
+        if (o[0] > 0) != (o[1] > 0) and (o[2] > 0) != (o[3] > 0) and all(o):
+            return True
+        return any(t == 0 and within(*s, r) for t, s, r in zip(o, (p, p, q, q), (c, d, a, b)))
+
+    for i, (a, b) in enumerate(es):
+        _, c = es[(i + 1) % len(es)]
+        if turn(a, b, c) == 0 and (b[0] - a[0]) * (c[0] - b[0]) + (b[1] - a[1]) * (c[1] - b[1]) < 0:
+            return False
+        for j in range(i + 2, len(es)):
+            if not (i == 0 and j == len(es) - 1) and meet(es[i], es[j]):
+                return False
+    return True
+
+
+def arrow_rings(polygons):
+    import pyarrow as pa
+
+    point = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+    rows = [p and [[{"x": float(x), "y": float(y)} for x, y in r] for r in p] for p in polygons]
+    return pa.array(rows, pa.list_(pa.list_(point)))
+
+
+@pytest.mark.parametrize("short", [64, 3])
+def test_simple_rings_against_all_pairs(monkeypatch, short):
+    """Random rings on few whole coordinates, so that they touch, fold and repeat; with and without the grid."""
+    monkeypatch.setattr(S, "SHORT", short)
+    monkeypatch.setattr(S, "PAIRS_AT_ONCE", 50)
+    rng = random.Random(5)
+    polygons, want = [None, []], [True, True]
+    for _ in range(600):
+        corners = [(rng.randint(0, 9), rng.randint(0, 9)) for _ in range(rng.randint(3, 7))]
+        if rng.random() < 0.3:
+            corners.insert(1, corners[0])
+        ring = [*corners, corners[0]]
+        other = moved(SHAPES["comb"], 0, 0)[0]
+        polygons.append([ring, other])
+        want.append(plainly_simple(ring))
+    polygons += [star(rng, 90, 500), [[(0, 0), (math.nan, 1), (2, 2), (0, 0)]]]
+    want += [plainly_simple(polygons[-2][0]), True]
+    assert S.simple_polygons(arrow_rings(polygons)).tolist() == want
+    assert sum(want) > 50
+
+
+def test_long_ring_is_checked_in_about_linear_time():
+    import time
+
+    angle = [2 * math.pi * k / 100_000 for k in range(100_000)]
+    at = [(1 + 0.3 * math.sin(7 * a) + 0.05 * math.sin(300 * a), a) for a in angle]
+    ring = [(round(10**9 * r * math.cos(a)), round(10**9 * r * math.sin(a))) for r, a in at]
+    ring.append(ring[0])
+    crossed = [*ring[:50_000], ring[50_001], ring[50_000], *ring[50_002:]]
+    column = arrow_rings([[ring]])
+    started = time.perf_counter()
+    assert S.simple_polygons(column).tolist() == [True]
+    assert time.perf_counter() - started < 4  # 0.4 s on an idle machine
+    assert S.simple_polygons(arrow_rings([[crossed]])).tolist() == [False]
