@@ -430,6 +430,27 @@ def axis_swap_audit(spark, sf_dir):
     )
 
 
+_BOTH_ORDERS = (
+    _utm_sql("lon", "lat", "r", "near", "point_id, lon, lat", 3.0),
+    _utm_sql("lat", "lon", "w", "near", "point_id, lon, lat", 3.0),
+)
+
+
+@query(
+    "axis_swap_metres",
+    oracle_with("points_ll")
+    + f""", near AS (SELECT point_id, lon + 118 AS lon, lat FROM points_ll),
+    r AS ({_BOTH_ORDERS[0]}), w AS ({_BOTH_ORDERS[1]}),
+    d AS (SELECT point_id, r_e - w_e AS dx, r_n - w_n AS dy FROM r JOIN w USING (point_id))
+    SELECT point_id, {fixed_sql("sqrt(dx * dx + dy * dy)", 2)} AS axis_error_m, TRUE AS axis_suspect FROM d""",
+)
+def axis_swap_metres(spark, sf_dir):
+    """Points whose longitude is a possible latitude too: swapped, they are somewhere else, so many metres away."""
+    near = fixture(spark, sf_dir, "points_ll").withColumn("lon", F.col("lon") + 118)
+    audited = crs.axis_swap_audit(near, "lon", "lat", 32631)
+    return audited.select("point_id", fixed(F.col("axis_error_m"), 2).alias("axis_error_m"), "axis_suspect")
+
+
 @query(
     "crs_harmonise",
     oracle_with("points_ll", "sensors_m")
