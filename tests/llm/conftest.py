@@ -11,6 +11,7 @@ from helpers import edited, sentence  # noqa: E402
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
+
 @pytest.fixture(scope="session")
 def texts():
     """Copies, near copies, empties, nulls, odd blanks, a long text, repeats, special strings."""
