@@ -9,8 +9,11 @@ feature nor the frame of a collection ends the read with an error.
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,6 +74,24 @@ def _foreign(text: Column) -> Column:
     return F.raise_error(F.concat(F.lit("not a feature or the frame of a collection: "), F.substring(text, 1, 200)))
 
 
+def json_values(text: str) -> Iterator[str]:
+    """The JSON values that follow each other in a text; anything else raises."""
+    decoder, blanks, at = json.JSONDecoder(), re.compile(r"\s*"), 0
+    while (at := blanks.match(text, at).end()) < len(text):
+        try:
+            _, end = decoder.raw_decode(text, at)
+        except json.JSONDecodeError as error:
+            raise ValueError(f"not a feature or the frame of a collection: {text[at : at + 200]}") from error
+        yield text[at:end]
+        at = end
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def documents(texts: pa.Array) -> pa.Array:
+    """A file's documents: several may follow each other, where ``from_json`` would read the first."""
+    return pa.array([list(json_values(text.as_py())) for text in texts], pa.list_(pa.string()))
+
+
 def layout_of_start(start: str) -> tuple[str, str | None]:
     """(layout, prefix) of a text that starts like this."""
     found = re.search(TYPE_FIRST, start)
@@ -127,7 +148,8 @@ def features_of(texts: DataFrame, schema: T.StructType, layout: str) -> DataFram
         return parsed.where(F.when(own, F.lit(True)).otherwise(_foreign(value).cast("boolean"))).select("f")
     if layout == "document":
         whole = T.StructType().add("features", T.ArrayType(schema))
-        parsed = texts.where(F.trim(value) != "").select("value", _parsed(value, whole).alias("whole"))
+        each = texts.where(F.trim(value) != "").select(F.explode(documents(value)).alias("value"))
+        parsed = each.select("value", _parsed(value, whole).alias("whole"))
         listed = F.when(F.col("whole.features").isNull(), _foreign(value).cast(T.ArrayType(schema))).otherwise(
             F.col("whole.features")
         )
@@ -150,7 +172,7 @@ def read_geojson(
 
     - ``collection``: anywhere, each starting with the literal ``prefix``; splittable
     - ``lines``: one per line, with or without enclosing collection; splittable
-    - ``document``: any other JSON; one task per file
+    - ``document``: any other JSON, also several documents in a file; one task per file
     """
     if layout is None or layout == "collection" and prefix is None:
         found, literal = sniff(spark, path)

@@ -53,6 +53,21 @@ def test_collection_reads_like_document(spark, one_line):
     assert split.where("geom.rings is null").count() == 1 and split.where("note is null").count() == 1
 
 
+def test_every_document_of_a_file_is_read(spark, tmp_path):
+    path = tmp_path / "several.geojson"
+    texts = [json.dumps({"features": [feature(i) for i in part], "type": "FeatureCollection"}) for part in ([0, 1], [2], [3, 4])]
+    path.write_text(f"{texts[0]}\n{texts[1]}{texts[2]}\n")
+    found = geojson.read_geojson(spark, str(path), PROPERTIES, layout="document")
+    assert sorted(r.feature_id for r in found.collect()) == ["0", "1", "2", "3", "4"]
+
+
+def test_text_after_a_document_raises(spark, tmp_path):
+    path = tmp_path / "cut.geojson"
+    path.write_text(json.dumps({"features": [feature(0)]}) + ' {"features": [')
+    with pytest.raises(Exception, match="not a feature or the frame of a collection"):
+        geojson.read_geojson(spark, str(path), PROPERTIES, layout="document").collect()
+
+
 def test_one_file_is_split_over_tasks(spark, one_line):
     size = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
