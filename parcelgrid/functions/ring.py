@@ -254,7 +254,10 @@ def _on_segment_distance2(ax, ay, bx, by, x, y) -> Column:
     along = ((x - ax) * dx + (y - ay) * dy) / F.nullif(span, F.lit(0.0))
     t = F.least(F.greatest(F.coalesce(along, F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
     ex, ey = x - (ax + t * dx), y - (ay + t * dy)
-    return ex * ex + ey * ey
+    # ``t`` is rounded: a point on the segment would come out beside it
+    within = lambda v, a, b: (v >= F.least(a, b)) & (v <= F.greatest(a, b))
+    on = within(x, ax, bx) & within(y, ay, by) & (dx * (y - ay) - dy * (x - ax) == 0)
+    return F.when(on, F.lit(0.0)).otherwise(ex * ex + ey * ey)
 
 
 def _crossings(ring: Column, x: Column, y: Column) -> Column:

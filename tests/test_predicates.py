@@ -110,3 +110,11 @@ def test_duplicate_keys_are_reported(spark):
     row = verify.reconcile(two, one, ["k"], ["c"], ["v"]).first()
     assert (row.n_left, row.n_right, row.n_duplicate_keys, row.n_common, row.verdict) == (3, 2, 1, 1, "MISMATCH")
     assert verify.reconcile(one, one, ["k"], ["c"], ["v"]).first().verdict == "MATCH"
+
+
+def test_every_point_of_an_outline_is_contained(spark):
+    df = spark.sql("SELECT CAST(id AS DOUBLE) / 10 AS v FROM range(1, 200000, 37)")
+    rings = polygon_of_wkt(F.lit("POLYGON((113 7, 30113 7, 30113 20007, 113 20007, 113 7))"))
+    on = [R.contains_point(rings, F.lit(x), 7 + F.col("v")) for x in (113.0, 30113.0)]
+    on += [R.contains_point(rings, 113 + F.col("v"), F.lit(y)) for y in (7.0, 20007.0)]
+    assert df.select(F.count_if(~(on[0] & on[1] & on[2] & on[3]))).first()[0] == 0
