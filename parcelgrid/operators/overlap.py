@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,9 +29,9 @@ from parcelgrid.functions.box import (
     expand,
     intersects,
     is_known,
-    strictly_contains_point,
 )
-from parcelgrid.operators.skew import BROADCAST_ROWS, keyed_join, salted_join
+from parcelgrid.functions.windows import SpotCounts
+from parcelgrid.operators.skew import BROADCAST_ROWS, dealt_out, keyed_join, salted_join
 from parcelgrid.session import materialise
 
 #: Levels are kept two powers of two apart: few lookups per point.
@@ -47,6 +48,10 @@ BROADCAST_BYTES = 32 << 20
 MOST_CELLS = 9
 
 
+#: Spots aimed at per cell where they are counted.
+SPOTS_PER_CELL = 10_000
+
+
 def _level(b: Box, reach: float) -> Column:
     """The level whose cells are no smaller than the box and the reach."""
     size = F.greatest(b.maxx - b.minx, b.maxy - b.miny, F.lit(2.0 * reach))
@@ -194,6 +199,19 @@ def points_near_boxes(points: DataFrame, boxes: DataFrame, radius: float, **opti
     return pairs.withColumn("distance_m", d)
 
 
+def _spots_in_squares(radius: float):
+    """Counts for the points of one cell, from the spots listed under it."""
+
+    def count(points: pa.Table, spots: pa.Table) -> pa.Table:
+        column = lambda table, name: table.column(name).to_numpy(zero_copy_only=False)
+        held = SpotCounts(*(column(spots, c) for c in ("sx", "sy", "copies")))
+        x, y = column(points, "x"), column(points, "y")
+        found = held.inside(x - radius, y - radius, x + radius, y + radius)
+        return pa.table({"point": points.column("point"), "n": pa.array(found, pa.int64())})
+
+    return count
+
+
 def candidate_counts(
     points: DataFrame,
     spots: DataFrame,
@@ -202,19 +220,34 @@ def candidate_counts(
     x: str = "x",
     y: str = "y",
 ) -> DataFrame:
-    """How many boxes have their centre strictly inside the square about each point."""
+    """How many boxes have their centre strictly inside the square about each point.
+
+    Spots are counted, not paired: a cell's spots are put in order once, and
+    each of its points takes a logarithmic number of steps however many spots
+    its square holds. Cells are large enough to hold some thousands of rows; a
+    crowded one is dealt over tasks, and the counts of its pieces are added up.
+    """
     b = box()
-    cx, cy = (b.minx + b.maxx) / 2.0, (b.miny + b.maxy) / 2.0
-    as_spots = spots.select(
-        cx.alias("minx"), cy.alias("miny"), cx.alias("maxx"), cy.alias("maxy")
-    )
+    as_spots = spots.where(is_known(b)).select(((b.minx + b.maxx) / 2.0).alias("sx"), ((b.miny + b.maxy) / 2.0).alias("sy"))
     # copies of one spot count together
-    counted = as_spots.groupBy(*BOX_FIELDS).agg(F.count(F.lit(1)).alias("copies"))
-    hit = strictly_contains_point(around_point(F.col(x), F.col(y), radius), F.col("minx"), F.col("miny"))
-    pairs = cell_pairs(points.select(point_id, x, y), counted, hit, radius, point_id, x, y, "left")
-    return pairs.groupBy(point_id).agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("n_candidates")
-    )
+    counted = materialise(as_spots.groupBy("sx", "sy").agg(F.count(F.lit(1)).alias("copies")), "spots")
+    extent = counted.agg(
+        F.count(F.lit(1)).alias("n"), F.greatest(F.max("sx") - F.min("sx"), F.max("sy") - F.min("sy")).alias("side")
+    ).first()
+    even = (extent["side"] or 0.0) * math.sqrt(SPOTS_PER_CELL / max(extent["n"], 1))
+    size = max(2.0 * radius, even, 2.0**LOWEST_LEVEL)
+    at = lambda value: F.floor(value / F.lit(size)).cast("bigint")
+    wide = radius * (1 + 1e-6)  # a cell too many does no harm
+    around = lambda v: F.explode(F.sequence(at(F.col(v) - wide), at(F.col(v) + wide)))
+    listed = counted.withColumn("cx", around("sx")).withColumn("cy", around("sy"))
+    own = points.select(F.col(point_id).alias("point"), *(F.col(c).cast("double").alias(n) for c, n in ((x, "x"), (y, "y"))))
+    # points without a position find nothing anywhere
+    anywhere = F.pmod(F.xxhash64("point"), F.lit(1000))
+    placed = own.withColumns({"cx": F.coalesce(at(F.col("x")), anywhere), "cy": F.coalesce(at(F.col("y")), anywhere)})
+    left, right, keys = dealt_out(placed, listed, ["cx", "cy"], "point")
+    schema = T.StructType([own.schema["point"], T.StructField("n", T.LongType())])
+    pieces = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_spots_in_squares(radius), schema)
+    return pieces.groupBy(F.col("point").alias(point_id)).agg(F.sum("n").alias("n_candidates"))
 
 
 def with_buffer_overlap(pairs: DataFrame, x: str, y: str, radius: float, name: str) -> DataFrame:

@@ -55,29 +55,19 @@ def keyed_join(
     return left.join(renamed, on, how).drop(*(f"__{k}" for k in keys))
 
 
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    spread_by: str,
-    how: str = "left",
-    key_counts: DataFrame | None = None,
-    condition: Column | None = None,
-) -> DataFrame:
-    """Join on ``keys``; a hot key is dealt out over several tasks.
+def dealt_out(
+    left: DataFrame, right: DataFrame, keys: list[str], spread_by: str, key_counts: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with salts for their hot keys, and the keys by which every pair meets in exactly one piece.
 
-    Rows of a hot key get a salt on their own side and are repeated once per
-    salt of the other, so every pair meets in exactly one piece. Cold keys are
-    one piece. With ``how="left"`` and a key split on the right, a left row may
-    come out several times without a match; fold by it. The hot keys are
-    written once and broadcast only if they are few.
+    The hot keys are written once and broadcast only if they are few.
     """
     counts = lambda df: df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     hot = hot_keys(key_counts if key_counts is not None else counts(left), counts(right), keys)
     hot = materialise(hot, "hot-keys")
     n_hot = hot.limit(BROADCAST_ROWS + 1).count()
     if not n_hot:
-        return keyed_join(left, right, keys, how, condition)
+        return left, right, keys
     hot = broadcast_if_small(hot, n_hot)
     none = F.lit(1)
 
@@ -89,10 +79,29 @@ def salted_join(
             other.replace("salts", "salt"), repeats
         ).drop(own, other)
 
-    return keyed_join(
+    return (
         dealt(left, "left_salts", "right_salts", [spread_by]),
         dealt(right, "right_salts", "left_salts", right.columns),
         [*keys, "left_salt", "right_salt"],
-        how,
-        condition,
-    ).drop("left_salt", "right_salt")
+    )
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    spread_by: str,
+    how: str = "left",
+    key_counts: DataFrame | None = None,
+    condition: Column | None = None,
+) -> DataFrame:
+    """Join on ``keys``; a hot key is dealt out over several tasks.
+
+    Rows of a hot key get a salt on their own side and are repeated once per
+    salt of the other, so every pair meets in exactly one piece. Cold keys are
+    one piece. With ``how="left"`` and a key split on the right, a left row may
+    come out several times without a match; fold by it.
+    """
+    left, right, on = dealt_out(left, right, keys, spread_by, key_counts)
+    joined = keyed_join(left, right, on, how, condition)
+    return joined.drop("left_salt", "right_salt")

@@ -271,6 +271,21 @@ def test_candidate_counts(spark):
     assert rows == dict(enumerate(inside.tolist()))
 
 
+def test_candidates_are_counted_not_paired(spark, monkeypatch):
+    """Spots and points on the squares' sides, copies, and a point without a position; crowded cells in pieces."""
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 50)
+    monkeypatch.setattr(overlap, "SPOTS_PER_CELL", 40)
+    rng = np.random.default_rng(5)
+    spots, points = rng.integers(0, 30, (400, 2)).astype(float), rng.integers(0, 30, (300, 2)).astype(float)
+    b = spark.createDataFrame([(i, *map(float, s), *map(float, s)) for i, s in enumerate(spots)], "field_id long, minx double, miny double, maxx double, maxy double")
+    p = spark.createDataFrame([*((i, *map(float, q)) for i, q in enumerate(points)), (300, None, 1.0)], "query_id long, x double, y double")
+    found = overlap.candidate_counts(p, b, 4.0)
+    inside = (np.abs(points[:, None] - spots[None]) < 4.0).all(axis=2).sum(axis=1)
+    assert {r[0]: r[1] for r in found.collect()} == dict(enumerate([*inside.tolist(), 0]))
+    # points and spots meet by cell, and no pair of them is a row
+    assert "FlatMapCoGroupsInArrow" in plan_of(found)
+
+
 def test_synthetic_tables_are_repeatable(spark):
     a, b = synthetic.boxes(spark, 500), synthetic.boxes(spark, 500).repartition(7)
     assert a.exceptAll(b).count() == 0 and a.where("maxx <= minx").count() == 0
