@@ -90,7 +90,7 @@ def crosses_long(e: Edges) -> bool:
     low_x, low_y = min(e.ax.min(), e.bx.min()), min(e.ay.min(), e.by.min())
     n = min(MOST_CELLS, max(1, math.ceil(math.sqrt(m / EDGES_PER_CELL))))
     width, height = max(e.ax.max(), e.bx.max()) - low_x, max(e.ay.max(), e.by.max()) - low_y
-    edge, column, row = Grid(low_x, low_y, width / n or 1.0, height / n or 1.0, n).touched(e)
+    edge, column, row = Grid(low_x, low_y, width / n or 1.0, height / n or 1.0, n, n).touched(e)
     cell = column * n + row
     order = np.argsort(cell, kind="stable")
     edge, cell = edge[order], cell[order]

@@ -5,6 +5,7 @@ import random
 from fractions import Fraction
 
 import pytest
+from plan_text import plan_of
 from pyspark.sql import functions as F
 
 from parcelgrid.functions import edges as E
@@ -256,3 +257,21 @@ def test_long_ring_is_checked_in_about_linear_time():
     assert S.simple_polygons(column).tolist() == [True]
     assert time.perf_counter() - started < 4
     assert S.simple_polygons(arrow_rings([[crossed]])).tolist() == [False]
+
+
+def test_a_comb_is_cut_between_its_teeth(spark):
+    """Cells are long along the teeth, whichever way they point: an edge is listed a few times."""
+    teeth = [p for k in range(2500) for p in ((4 * k, 0), (4 * k + 1, 9000), (4 * k + 2, 9000), (4 * k + 3, 0))]
+    comb = [*teeth, (10000, -50), (0, -50), teeth[0]]
+    df = frame(spark, [(1, [comb]), (2, [[(y, x) for x, y in comb]])]).withColumnRenamed("id", "field_id")
+    _, cells = edge_grid.edge_cells(df)
+    listed = cells.groupBy("poly_id").agg(F.sum(F.size("edges")).alias("n")).collect()
+    assert len(listed) == 2 and all(r.n < 6 * len(comb) for r in listed)
+
+
+def test_short_outlines_meet_points_by_place(spark):
+    """Polygons of few edges are not joined a second time, pair by pair."""
+    df = frame(spark, [(i, moved(SHAPES["triangle"], 9 * i, 0)) for i in range(20)]).withColumnRenamed("id", "field_id")
+    points = spark.range(50).selectExpr("id AS query_id", "CAST(id AS DOUBLE) AS x", "1D AS y")
+    plan = plan_of(edge_grid.points_in_rings(points, df))
+    assert "FlatMapCoGroupsInArrow" in plan and "Join" not in plan
