@@ -41,6 +41,7 @@ def shared_areas(
     met = cell_pairs(own, extent, intersects(box(), around_point(F.col("x"), F.col("y"), reach)), reach).drop(*BOX_FIELDS)
     outlines = polygons.select(F.col(polygon_id).alias("poly_id"), F.col(rings).alias("rings"))
     area = intersection_area(figure(F.col("x"), F.col("y")), F.col("rings"))
-    return met.join(outlines, "poly_id").select(
+    # outlines are wider than their source's file size tells: never broadcast by that estimate
+    return met.join(outlines.hint("merge"), "poly_id").select(
         F.col("query_id").alias(point_id), F.col("poly_id").alias(polygon_id), area.alias("shared_m2")
     )

@@ -13,6 +13,7 @@ from parcelgrid.functions import ring as R
 from parcelgrid.functions import simple as S
 from parcelgrid.operators import edge_grid
 from parcelgrid.operators.nearest_ring import nearest_ring
+from parcelgrid.operators.shared_area import shared_areas, square
 
 SHAPES = {
     "square": [[(0, 0), (6, 0), (6, 6), (0, 6)]],
@@ -275,3 +276,10 @@ def test_short_outlines_meet_points_by_place(spark):
     points = spark.range(50).selectExpr("id AS query_id", "CAST(id AS DOUBLE) AS x", "1D AS y")
     plan = plan_of(edge_grid.points_in_rings(points, df))
     assert "FlatMapCoGroupsInArrow" in plan and "Join" not in plan
+
+
+def test_outlines_are_never_broadcast(spark):
+    df = frame(spark, [(1, SHAPES["triangle"])]).withColumnRenamed("id", "field_id")
+    points = spark.range(5).selectExpr("id AS query_id", "CAST(id AS DOUBLE) AS x", "1D AS y")
+    found = shared_areas(points, df, 1.0, square(1.0))
+    assert "SortMergeJoin" in plan_of(found)
