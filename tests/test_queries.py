@@ -39,3 +39,9 @@ def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["query_id", "nearest_poly_id", "min_distance_m", "nearest_crop", "nearby_covered_area_m2"]
     assert df.count() == 1000
+
+
+@pytest.mark.parametrize("name", ["buffer_area", "point_buffer", "within_polygon", "polygon_intersects_polygon", "shape_in_window"])
+def test_small_files_of_heavy_rows_are_dealt_over_tasks(spark, name):
+    found = contract.queries()[name](spark, contract.ENTRY_DATA)
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
