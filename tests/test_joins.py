@@ -165,6 +165,31 @@ def test_shuffled_cell_join_is_salted(spark, no_broadcast, monkeypatch):
     assert len(rows) == len(expected) and {tuple(r) for r in rows} == expected
 
 
+@pytest.mark.parametrize("pairs", [skew.PAIRS_PER_TASK, 300])
+def test_left_pairs_are_not_shuffled_and_copies_are_tested_as_one(spark, no_broadcast, monkeypatch, pairs):
+    monkeypatch.setattr(skew, "PAIRS_PER_TASK", pairs)
+    monkeypatch.setattr(overlap, "COPIES_PER_ROW", 30)
+    p, b, points, boxes = frames(spark, "skewed")
+    inside = [[int(i), int(j)] for i, j in np.argwhere(distances(points, boxes) == 0)]
+    alone = [[i, None] for i in sorted(set(range(len(points))) - {i for i, _ in inside})]
+    found = overlap.points_in_boxes(p, b, how="left").select("query_id", "crop_type", "field_id")
+    rows = [tuple(r) for r in found.collect()]
+    assert sorted(rows, key=str) == sorted(((i, j if j is None else f"crop{j % 3}", j) for i, j in inside + alone), key=str)
+    # no join of the points with their pairs; only hot cells are marked by one
+    assert pairs == 300 or "LeftOuter" not in plan_of(found)
+    listed = overlap.merged_copies(b, 0.0)
+    assert 400 + 1 + 400 + 8 < listed.n_boxes < 400 + 30 + 400 + 8
+    assert listed.copies_by_cell().agg(F.sum("n")).first()[0] >= len(boxes)
+
+
+def test_points_without_a_box_are_found_by_the_first_pair(spark, no_broadcast):
+    p, b, _, _ = frames(spark, "skewed")
+    for how in ("semi", "anti"):
+        found = overlap.points_in_boxes(p, b, how=how)
+        assert found.columns == p.columns
+        assert plan_of(found).count("LeftSemi") >= 1
+
+
 def test_hot_keys_by_rows_of_either_side_and_by_pairs(spark, monkeypatch):
     monkeypatch.setattr(skew, "ROWS_PER_TASK", 10)
     monkeypatch.setattr(skew, "PAIRS_PER_TASK", 50)
