@@ -5,15 +5,15 @@ The plan prunes by groups of query points, not by single points:
 1. Boxes are put on a pyramid of grids, four cells to a side per step. A box
    lives at its *home* step: the finest one whose cells are no smaller than
    the box. Each occupied cell knows the extent of the boxes below it.
-2. Query points are grouped by finest cell. A spot that holds a third of all
-   points is one group, with the points' own extent.
+2. Query points at one spot are one point. Spots are grouped by finest cell,
+   with their own extent.
 3. Each group gets a bound from the smallest occupied cell above it, then goes
    down the pyramid step by step, dropping cells that start beyond the bound.
 4. Boxes of the cells left are compared with the group; a box stays unless
    another one is nearer, or as near with a lower id, for every point of the
    group. That leaves a handful.
-5. Points meet the boxes of their group by an equi-join; groups with very many
-   points are salted. The lowest id wins ties.
+5. Spots meet the boxes of their group by an equi-join; groups with very many
+   spots are salted. The lowest id wins ties. Points meet their spot last.
 
 All bounds use the same subtraction, product and square root as the distance
 itself, each of which rounds monotonically, so pruning never loses the answer.
@@ -42,6 +42,7 @@ from parcelgrid.functions.box import (
 )
 from parcelgrid.functions.scalar import clip
 from parcelgrid.operators.skew import broadcast_if_small, salted_join
+from parcelgrid.operators.spots import SPOT, at_spots, located, spots_of
 from parcelgrid.session import materialise
 
 #: Cells per axis grow by this power of two per pyramid step.
@@ -302,8 +303,10 @@ def group_candidates(groups: DataFrame, pyramid: BoxPyramid, far: Column | None
     )
 
 
-def points_and_candidates(points: DataFrame, pyramid: BoxPyramid, far: Column | None = None) -> DataFrame:
-    """``query_id, x, y`` with the candidates of the point's group: ``item`` and box, null where there is none."""
+def points_and_candidates(
+    points: DataFrame, pyramid: BoxPyramid, far: Column | None = None, spread_by: str | list[str] = "query_id"
+) -> DataFrame:
+    """The points with the candidates of their group: ``item`` and box, null where there is none."""
     grid = pyramid.grid
     points = points.withColumns(
         {"gx": grid.index(F.col("x"), grid.x0), "gy": grid.index(F.col("y"), grid.y0)}
@@ -311,15 +314,23 @@ def points_and_candidates(points: DataFrame, pyramid: BoxPyramid, far: Column |
     # used twice below; written once, so the points are not read and grouped again
     groups = materialise(query_groups(points), "groups")
     candidates = group_candidates(groups, pyramid, far)
-    return salted_join(points, candidates, ["gx", "gy"], "query_id", "left", groups.select("gx", "gy", "n"))
+    return salted_join(points, candidates, ["gx", "gy"], spread_by, "left", groups.select("gx", "gy", "n"))
 
 
-def located(queries: DataFrame, query_id: str, x: str, y: str) -> DataFrame:
-    """``query_id, x, y``, with positions that are not finite as null."""
-    return queries.select(
-        F.col(query_id).alias("query_id"),
-        *(F.when(F.abs(c) < F.lit(float("inf")), F.col(c)).alias(n) for c, n in ((x, "x"), (y, "y"))),
-    )
+def nearest_at(spots: DataFrame, pyramid: BoxPyramid) -> DataFrame:
+    """``x, y`` of the spots and ``best``: distance ``d`` and ``item`` of the nearest box, null without any."""
+    pairs = points_and_candidates(spots.select(*SPOT), pyramid, spread_by=SPOT)
+    found = F.struct(distance_to_point(box(), F.col("x"), F.col("y")).alias("d"), F.col("item"))
+    return pairs.groupBy(*SPOT).agg(F.min(F.when(F.col("item").isNotNull(), found)).alias("best"))
+
+
+def of_best(carry: dict[str, str]) -> list[Column]:
+    """Columns from :func:`nearest_at`: id, distance and what is carried."""
+    return [
+        F.col("best.item.poly_id").alias("nearest_poly_id"),
+        F.coalesce(F.col("best.d"), F.lit(float("inf"))).alias("distance_m"),
+        *(F.col(f"best.item.{c}").alias(name) for c, name in carry.items()),
+    ]
 
 
 def nearest_box(
@@ -333,21 +344,14 @@ def nearest_box(
 ) -> DataFrame:
     """``query_id, nearest_poly_id, distance_m`` and carried box columns.
 
-    ``query_id`` must be unique. Every query keeps its row: without any box, or
-    without a finite position, the id is NULL and the distance infinite. ``carry``
-    maps box columns to output names. Pass the result of :func:`build_pyramid`
-    in place of the boxes to use it for many query sets.
+    Every query keeps its row: without any box, or without a finite position, the
+    id is NULL and the distance infinite. Queries at one spot are looked up as one.
+    ``carry`` maps box columns to output names. Pass the result of
+    :func:`build_pyramid` in place of the boxes to use it for many query sets.
     """
     carry = carry or {}
     pyramid = boxes if isinstance(boxes, BoxPyramid) else build_pyramid(boxes, box_id, list(carry))
-    pairs = points_and_candidates(located(queries, query_id, x, y), pyramid)
-    found = F.struct(distance_to_point(box(), F.col("x"), F.col("y")).alias("d"), F.col("item"))
-    best = pairs.groupBy("query_id").agg(
-        F.min(F.when(F.col("item").isNotNull(), found)).alias("best")
-    )
-    return best.select(
-        F.col("query_id").alias(query_id),
-        F.col("best.item.poly_id").alias("nearest_poly_id"),
-        F.coalesce(F.col("best.d"), F.lit(float("inf"))).alias("distance_m"),
-        *(F.col(f"best.item.{c}").alias(name) for c, name in carry.items()),
-    )
+    points = located(queries, query_id, x, y)
+    spots = spots_of(points)
+    found = at_spots(points, spots, nearest_at(spots, pyramid))
+    return found.select(F.col("query_id").alias(query_id), *of_best(carry))

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from parcelgrid.functions import ring as R
 from parcelgrid.functions.box import Box, box
 from parcelgrid.operators.edge_grid import edge_cells, points_in_rings
-from parcelgrid.operators.nearest import BoxPyramid, _farthest, build_pyramid, located, points_and_candidates
+from parcelgrid.operators.nearest import BoxPyramid, _farthest, build_pyramid, points_and_candidates
+from parcelgrid.operators.spots import located
 
 #: Edges per stretch.
 STRETCH = 8

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelgrid.functions import box as B
 from parcelgrid.functions import ring as R
-from parcelgrid.operators import nearest, overlap, skew
+from parcelgrid.operators import nearest, overlap, skew, spots
 from parcelgrid.operators.nearest import build_pyramid, nearest_box
 from parcelgrid.plans.zone_lookup import zone_lookup
 from parcelgrid.sources import synthetic
@@ -100,6 +100,23 @@ def test_pyramid_splits_crowded_spots(spark):
     assert fullest <= nearest.TOLERATED_PER_CELL
 
 
+def test_points_at_one_spot_are_looked_up_as_one(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 50)
+    p, b, points, boxes = frames(spark, "skewed")
+    lost = spark.createDataFrame([(900, None, 2.0), (901, None, None), (902, math.nan, 4.0), (903, 3.0, math.inf)], POINTS)
+    own = spots.located(p.union(lost), "query_id", "x", "y")
+    held = spots.spots_of(own)
+    assert held.count() == len(np.unique(points, axis=0)) and held.agg(F.sum("n")).first()[0] == len(points)
+    assert held.agg(F.max("n")).first()[0] > 50  # dealt over tasks
+    d = distances(points, boxes)
+    rows = {r["query_id"]: r for r in zone_lookup(p.union(lost), b, 80.0).collect()}
+    assert len(rows) == len(points) + 4
+    assert all(rows[i]["nearest_poly_id"] == best for i, best in enumerate(d.argmin(axis=1)))
+    assert all(rows[i]["nearest_poly_id"] is None and math.isinf(rows[i]["min_distance_m"]) and rows[i]["nearby_covered_area_m2"] == 0 for i in range(900, 904))
+    areas = {r[0]: r[1] for r in overlap.covered_area(p.union(lost), b, 80.0).collect()}
+    assert areas == {i: pytest.approx(r["nearby_covered_area_m2"]) for i, r in rows.items()}
+
+
 def test_group_candidates_stay_few(spark):
     """A hot spot of points among crowded boxes never meets them all."""
     p, b, points, boxes = frames(spark, "skewed")
