@@ -313,7 +313,8 @@ def points_and_candidates(
     )
     # used twice below; written once, so the points are not read and grouped again
     groups = materialise(query_groups(points), "groups")
-    candidates = group_candidates(groups, pyramid, far)
+    # a handful per group; written, as the join counts them before it reads them
+    candidates = materialise(group_candidates(groups, pyramid, far), "candidates")
     return salted_join(points, candidates, ["gx", "gy"], spread_by, "left", groups.select("gx", "gy", "n"))
 
 

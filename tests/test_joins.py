@@ -7,6 +7,7 @@ import pytest
 from plan_text import plan_of
 from pyspark.sql import functions as F
 
+from parcelgrid import session
 from parcelgrid.functions import box as B
 from parcelgrid.functions import ring as R
 from parcelgrid.operators import nearest, overlap, skew, spots
@@ -117,6 +118,15 @@ def test_points_at_one_spot_are_looked_up_as_one(spark, no_broadcast, monkeypatc
     assert areas == {i: pytest.approx(r["nearby_covered_area_m2"]) for i, r in rows.items()}
 
 
+def test_candidates_are_worked_out_once(spark):
+    p, b, points, boxes = frames(spark, "ties")
+    with session.intermediates(spark):
+        found = nearest_box(p, b)
+        assert sum("/candidates-" in path for path in session._written.paths) == 1
+        assert "Window" not in plan_of(found)  # the descent is not planned again
+        assert_nearest(found, points, boxes)
+
+
 def test_group_candidates_stay_few(spark):
     """A hot spot of points among crowded boxes never meets them all."""
     p, b, points, boxes = frames(spark, "skewed")
