@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
+from parcelgrid.llm import hot
 from parcelgrid.llm.components import connected
 from parcelgrid.llm.scratch import Kept
 from parcelgrid.llm.texts import slices, utf8
@@ -207,7 +208,8 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), chunks - 1),
         lambda other: F.greatest(chunk, other) * F.lit(1 << 16).cast("long") + F.least(chunk, other),
     )
-    pieces = shards.join(crowded, ["choice", "masked"]).select("choice", "masked", F.explode(meets).alias("piece"), "fp")
+    # shards are 20 times their file's rows, which Spark's estimate of their size leaves out: never broadcast
+    pieces = shards.join(crowded.hint("merge"), ["choice", "masked"]).select("choice", "masked", F.explode(meets).alias("piece"), "fp")
     return (
         pieces.repartition("choice", "masked", "piece")
         .sortWithinPartitions("choice", "masked", "piece")
@@ -257,4 +259,6 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # a group is known by its smallest id; groups of null ids alone by their fingerprints
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("first")
     stays = groups.groupBy("group", F.when(F.col("group").isNull(), F.col("fp"))).agg(first).select(F.col("first.row").alias("row"))
-    return rows.join(stays, "row", "left_semi").select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
+    # mostly few rows go; then the texts are not shuffled
+    goes = Kept(narrow.select("row").join(stays, "row", "left_anti"), "goes").df
+    return rows.join(F.broadcast(goes) if hot.small(goes) else goes, "row", "left_anti").select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))

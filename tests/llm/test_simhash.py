@@ -3,6 +3,7 @@ import random
 import numpy as np
 from brute import components, simhash
 from helpers import rows_of
+from plan_text import plan_of
 from pyspark.sql import functions as F
 
 from parcelgrid.llm import simhash as S
@@ -88,3 +89,13 @@ def test_one_hot_text(spark):
     table = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("the same text for all of them").alias("text"))
     assert S.near_duplicates(table).select("component_id").distinct().count() == 1
     assert [r.doc_id for r in S.one_per_group(table).collect()] == [0]
+
+
+def test_nothing_is_broadcast_by_the_size_of_a_file(spark):
+    """The shards are 20 times the fingerprints; texts stay where they are if few rows go."""
+    plan = plan_of(S.fingerprint_links(spark.range(5000).withColumnRenamed("id", "fp")))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    table = spark.createDataFrame([(i, f"{i} one of {i * 7} many {i * i} words") for i in range(50)] * 2, "doc_id long, text string")
+    one = S.one_per_group(table)
+    assert "LeftAnti" in plan_of(one) and "hashpartitioning" not in plan_of(one)
+    assert sorted(r.doc_id for r in one.collect()) == list(range(50))
