@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from parcelgrid.functions import edges as E
 from parcelgrid.functions import ring as R
 from parcelgrid.functions import simple as S
-from parcelgrid.operators import edge_grid
+from parcelgrid.functions.box import BOX_FIELDS
+from parcelgrid.operators import edge_grid, overlap
 from parcelgrid.operators.nearest_ring import nearest_ring
 from parcelgrid.operators.shared_area import shared_areas, square
 
@@ -283,3 +284,35 @@ def test_outlines_are_never_broadcast(spark):
     points = spark.range(5).selectExpr("id AS query_id", "CAST(id AS DOUBLE) AS x", "1D AS y")
     found = shared_areas(points, df, 1.0, square(1.0))
     assert "SortMergeJoin" in plan_of(found)
+
+
+def test_corners_of_a_comb_are_told_fast():
+    """Every border meets every edge that crosses it, and few of its corners one by one."""
+    import time
+
+    import numpy as np
+
+    teeth = [p for k in range(10_000) for p in ((4 * k, 0), (4 * k + 1, 9000), (4 * k + 2, 9000), (4 * k + 3, 0))]
+    ring = np.array([*teeth, (40_000, -50), (0, -50), teeth[0]], float)
+    ends = ring[:-1, 0], ring[:-1, 1], ring[1:, 0], ring[1:, 1]
+    edges = E.Edges(*ends, np.zeros(len(ring) - 1, int), np.ones(len(ring) - 1, int), 1)
+    grid = E.Grid(0.0, -50.0, 4.01, 4525.0, 9970, 2)
+    started = time.perf_counter()
+    found = grid.corners_inside(edges)
+    assert time.perf_counter() - started < 2
+    for i in range(0, grid.nx, 199):
+        for j, border in enumerate((-50.0, 4475.0)):
+            over = edges.of(np.flatnonzero((np.minimum(edges.ay, edges.by) <= border) & (np.maximum(edges.ay, edges.by) > border)))
+            corner = np.full(len(over.ax), 4.01 * i), np.full(len(over.ax), border)
+            assert found[i, j] == (E.after(over, *corner).sum() % 2 == 1)
+
+
+def test_cells_share_a_call_of_the_kernel(spark):
+    """Points that are each alone in their cell do not cost a call each, nor a task."""
+    df = frame(spark, [(i, moved(SHAPES["square"], 10_000 * i, 0)) for i in range(300)]).withColumnRenamed("id", "field_id")
+    points = spark.range(3000).selectExpr("id AS query_id", "CAST(1000 * id AS DOUBLE) AS x", "1D AS y")
+    listed = overlap.list_boxes(edge_grid.edge_cells(df)[1].select("poly_id", *BOX_FIELDS, "edges"), 0.0)
+    left, right, keys = overlap.by_place(points, listed)
+    assert left.select(*keys).distinct().count() <= 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = sorted(tuple(r) for r in edge_grid.points_in_rings(points, df).collect())
+    assert got == [(10 * i, i) for i in range(300)]
