@@ -5,7 +5,8 @@ the pyramid of ``nearest``: their extents bound the distance from below, their
 first vertices from above. What is left for a group of points is a handful of
 stretches, and only those are measured edge by edge. So a long outline costs no
 more than the part of it that is near, and never travels whole. Points inside a
-polygon are found by its grid of edges, and are at distance 0.
+polygon are found first, by its grid of edges, and are at distance 0; only the
+others look for stretches.
 """
 
 from __future__ import annotations
@@ -17,9 +18,11 @@ from pyspark.sql import functions as F
 
 from parcelgrid.functions import ring as R
 from parcelgrid.functions.box import Box, box
+from parcelgrid.functions.edges import distance_to_edges
 from parcelgrid.operators.edge_grid import edge_cells, points_in_rings
 from parcelgrid.operators.nearest import BoxPyramid, _farthest, build_pyramid, points_and_candidates
 from parcelgrid.operators.spots import located
+from parcelgrid.session import materialise
 
 #: Edges per stretch.
 STRETCH = 8
@@ -61,21 +64,13 @@ def stretches(polygons: DataFrame, polygon_id: str, rings: str) -> DataFrame:
     )
 
 
-def edge_distance(e: Column, x: Column, y: Column) -> Column:
-    """From a point to an edge ``a``, ``b``."""
-    px, py, dx, dy = x - e["a"]["x"], y - e["a"]["y"], e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]
-    along, length = px * dx + py * dy, dx * dx + dy * dy
-    height = F.abs(dx * py - dy * px) / F.sqrt(length)
-    ends = F.sqrt(F.least(px * px + py * py, (px - dx) * (px - dx) + (py - dy) * (py - dy)))
-    return F.when((along > 0) & (along < length), height).otherwise(ends)
+def build_stretches(polygons: DataFrame, polygon_id: str, rings: str) -> BoxPyramid:
+    return build_pyramid(stretches(polygons, polygon_id, rings), "field_id", ["edges", "vx", "vy"], ["mark"])
 
 
 def build_ring_index(polygons: DataFrame, polygon_id: str = "field_id", rings: str = "rings") -> RingIndex:
     """Place the stretches and grids of all polygons."""
-    pyramid = build_pyramid(
-        stretches(polygons, polygon_id, rings), "field_id", ["edges", "vx", "vy"], ["mark"]
-    )
-    return RingIndex(pyramid, edge_cells(polygons, polygon_id, rings))
+    return RingIndex(build_stretches(polygons, polygon_id, rings), edge_cells(polygons, polygon_id, rings))
 
 
 def nearest_ring(
@@ -94,15 +89,22 @@ def nearest_ring(
     row: without any polygon, or without a finite position, the id is NULL and
     the distance infinite. Null and empty polygons are never nearest.
     """
-    index = polygons if isinstance(polygons, RingIndex) else build_ring_index(polygons, polygon_id, rings)
+    index = polygons if isinstance(polygons, RingIndex) else None
+    cells = index.cells if index else edge_cells(polygons, polygon_id, rings)
     points = located(queries, query_id, x, y)
-    vertex = Box(F.col("item.vx"), F.col("item.vy"), F.col("item.vx"), F.col("item.vy"))
-    pairs = points_and_candidates(points, index.pyramid, _farthest(box("g_"), vertex))
-    length = F.array_min(F.transform("item.edges", lambda e: edge_distance(e, F.col("x"), F.col("y"))))
-    measured = pairs.select("query_id", length.alias("d"), F.col("item.poly_id").alias("poly_id"))
-    held = points_in_rings(points, index.cells, "query_id", "poly_id").select("query_id", F.lit(0.0).alias("d"), "poly_id")
-    found = F.struct("d", "poly_id")
-    best = measured.unionByName(held).groupBy("query_id").agg(F.min(F.when(F.col("poly_id").isNotNull(), found)).alias("best"))
+    inside = points_in_rings(points, cells, "query_id", "poly_id").groupBy("query_id").agg(F.min("poly_id").alias("poly_id"))
+    inside = materialise(inside, "inside")
+    # wider than its file's size tells: never broadcast by that estimate
+    outside = materialise(points.join(inside.select("query_id").hint("merge"), "query_id", "left_anti"), "outside")
+    best = inside.select("query_id", F.struct(F.lit(0.0).alias("d"), "poly_id").alias("best"))
+    if not outside.isEmpty():
+        pyramid = index.pyramid if index else build_stretches(polygons, polygon_id, rings)
+        vertex = Box(F.col("item.vx"), F.col("item.vy"), F.col("item.vx"), F.col("item.vy"))
+        pairs = points_and_candidates(outside, pyramid, _farthest(box("g_"), vertex))
+        measured = pairs.select("query_id", "item.poly_id", distance_to_edges("item.edges", "x", "y").alias("d"))
+        found = F.when(F.col("poly_id").isNotNull(), F.struct("d", "poly_id"))
+        best = best.unionByName(measured.select("query_id", found.alias("best")))
+    best = best.groupBy("query_id").agg(F.min("best").alias("best"))
     return best.select(
         F.col("query_id").alias(query_id),
         F.col("best.poly_id").alias("nearest_poly_id"),

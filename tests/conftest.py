@@ -18,6 +18,14 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def own_intermediates(monkeypatch):
+    """Each test sees the folders it has written itself, whatever ran before."""
+    from parcelgrid import session
+
+    monkeypatch.setattr(session._written, "paths", [])
+
+
 @pytest.fixture
 def no_broadcast(spark, monkeypatch):
     """Make every join shuffle, as it does for large tables."""

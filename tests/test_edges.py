@@ -8,6 +8,7 @@ import pytest
 from plan_text import plan_of
 from pyspark.sql import functions as F
 
+from parcelgrid import session
 from parcelgrid.functions import edges as E
 from parcelgrid.functions import ring as R
 from parcelgrid.functions import simple as S
@@ -316,3 +317,21 @@ def test_cells_share_a_call_of_the_kernel(spark):
     assert left.select(*keys).distinct().count() <= 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     got = sorted(tuple(r) for r in edge_grid.points_in_rings(points, df).collect())
     assert got == [(10 * i, i) for i in range(300)]
+
+
+def test_points_inside_look_for_no_outline(spark):
+    """Only points outside all polygons meet stretches: what is written for them does not grow with those inside."""
+    df = frame(spark, [(i, moved(SHAPES["square"], i, 0)) for i in range(40)]).withColumnRenamed("id", "field_id")
+    inside = spark.range(400).selectExpr("id AS query_id", "CAST(id % 40 AS DOUBLE) AS x", "1D AS y")
+    away = spark.createDataFrame([(900, -3.0, 2.0), (901, 49.0, 10.0), (902, None, 1.0)], "query_id long, x double, y double")
+
+    def groups(points):
+        """The points grouped for the search, and the answers."""
+        with session.intermediates(spark):
+            found = {r.query_id: (r.nearest_poly_id, r.distance_m) for r in nearest_ring(points, df).collect()}
+            written = [p for p in session._written.paths if "/groups-" in p]
+            return sum(spark.read.parquet(p).agg(F.sum("n")).first()[0] for p in written), found
+
+    assert groups(inside) == (0, {k: (max(k % 40 - 6, 0), 0.0) for k in range(400)})
+    found = {900: (0, 3.0), 901: (39, math.sqrt(32)), 902: (None, math.inf)}
+    assert groups(inside.union(away)) == (2, {k: (max(k % 40 - 6, 0), 0.0) for k in range(400)} | found)
