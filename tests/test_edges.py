@@ -15,7 +15,7 @@ from parcelgrid.functions import simple as S
 from parcelgrid.functions.box import BOX_FIELDS
 from parcelgrid.operators import edge_grid, overlap
 from parcelgrid.operators.nearest_ring import nearest_ring
-from parcelgrid.operators.shared_area import shared_areas, square
+from parcelgrid.operators.shared_area import areas_by_place, shared_areas, square
 
 SHAPES = {
     "square": [[(0, 0), (6, 0), (6, 6), (0, 6)]],
@@ -335,3 +335,53 @@ def test_points_inside_look_for_no_outline(spark):
     assert groups(inside) == (0, {k: (max(k % 40 - 6, 0), 0.0) for k in range(400)})
     found = {900: (0, 3.0), 901: (39, math.sqrt(32)), 902: (None, math.inf)}
     assert groups(inside.union(away)) == (2, {k: (max(k % 40 - 6, 0), 0.0) for k in range(400)} | found)
+
+
+@pytest.mark.parametrize("pairs", [None, 40])
+def test_points_in_polygons_against_every_pair(spark, monkeypatch, pairs):
+    """Copies of an outline, holes, points on outlines, without a position and with one id; found in a kernel."""
+    if pairs:
+        monkeypatch.setattr(overlap, "PAIRS_WITH_COPIES", pairs)  # cells are dealt out
+    rng = random.Random(8)
+    polygons = [(i, moved(s, 4 * i, i % 3), f"p{i}") for i, s in enumerate(SHAPES.values())] * 3
+    polygons = [(k, *rest) for k, (_, *rest) in enumerate(polygons)] + [(90, None, "none"), (91, [], None), (92, [[(1, 1)]], "spot")]
+    df = frame(spark, polygons, ", name string").withColumnRenamed("id", "field_id")
+    rows = [(k, float(rng.randint(-2, 40)), float(rng.randint(-2, 14)), f"s{k}") for k in range(300)]
+    rows += [(7, 1.0, 1.0, "twice"), (None, 2.0, 2.0, None), (800, None, 1.0, "x"), (801, 1.0, math.nan, "y")]
+    points = spark.createDataFrame(rows, "query_id int, x double, y double, tag string")
+    want = points.crossJoin(df).where(R.contains_point(F.col("rings"), F.col("x"), F.col("y"))).collect()
+    found = overlap.points_in_polygons(points, df)
+    assert found.columns == [*points.columns, *df.columns]
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, want)) and len(want) > 300
+    bare = overlap.points_in_polygons(points, df, outlines=False, how="left")
+    assert bare.columns == [*points.columns, "field_id", "name"]
+    pairs_of = lambda got: sorted(repr((r.query_id, r.tag, r.field_id)) for r in got)
+    alone = [r.tag for r in overlap.points_in_polygons(points, df, how="anti").collect()]
+    got = bare.collect()
+    assert pairs_of(r for r in got if r.field_id is not None) == pairs_of(want)
+    assert sorted(map(str, alone)) == sorted(str(r.tag) for r in got if r.field_id is None) and {"x", "y"} <= set(alone)
+    plan = plan_of(overlap.points_in_polygons(points, df, outlines=False))
+    assert "FlatMapCoGroupsInArrow" in plan and "BroadcastHashJoin" not in plan.split("FlatMapCoGroupsInArrow")[0]
+
+
+@pytest.mark.parametrize("pairs", [None, 40])
+def test_shared_areas_by_place_and_by_polygon(spark, monkeypatch, pairs):
+    """Short outlines are not joined pair by pair; both ways give what every pair gives."""
+    if pairs:
+        monkeypatch.setattr(overlap, "PAIRS_PER_GROUP", pairs)
+    rng = random.Random(9)
+    polygons = [(i, moved(s, 5 * i, i % 3)) for i, s in enumerate(SHAPES.values())] + [(20, moved([r[:-1] for r in star(rng, 100, 9)], 9, 9)), (30, None), (31, [])]
+    df = frame(spark, polygons).withColumnRenamed("id", "field_id")
+    rows = [(k, rng.uniform(-3, 45), rng.uniform(-3, 14)) for k in range(120)] + [(900, None, 1.0), (901, 1.0, math.nan), (None, 3.0, 3.0)]
+    points = spark.createDataFrame(rows, "query_id int, x double, y double")
+    figure = square(2.5)
+    found = {(r[0], r[1]): r[2] for r in shared_areas(points, df, 2.5, figure).collect()}
+    every = points.where("x IS NOT NULL AND NOT isnan(y)").crossJoin(df.where("field_id < 30"))
+    area = E.intersection_area(figure(F.col("x"), F.col("y")), F.col("rings"))
+    want = {(r[0], r[1]): r[2] for r in every.select("query_id", "field_id", area.alias("a")).collect()}
+    assert {k for k, v in want.items() if v > 1e-9} <= set(found) <= set(want) and (None, 0) in found
+    assert all(v == pytest.approx(want[k], abs=1e-9) for k, v in found.items())
+    assert any(i == 20 and v > 1 for (_, i), v in found.items())
+    extent = df.where("field_id < 20").withColumn("extent", R.bounds_struct(F.col("rings"))).select(F.col("field_id").alias("poly_id"), "rings", "extent.*")
+    plan = plan_of(areas_by_place(points.where("x > 0"), extent, 2.5, figure))
+    assert "FlatMapCoGroupsInArrow" in plan and (pairs or "Join" not in plan)
