@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelgrid.functions import ring as R
 from parcelgrid.functions.box import BOX_FIELDS, around_point, box, box_from_corners, intersects
-from parcelgrid.functions.edges import intersection_area
-from parcelgrid.operators.overlap import cell_pairs
+from parcelgrid.functions.edges import areas_shared, intersection_area
+from parcelgrid.operators.overlap import by_place, cell_pairs, list_boxes
+from parcelgrid.session import materialise
+
+#: Vertices of an outline that is carried to the points.
+SHORT = 64
 
 
 def square(reach: float) -> Callable[[Column, Column], Column]:
@@ -33,15 +38,38 @@ def shared_areas(
 
     ``figure`` gives the polygon about a point, which reaches no farther than
     ``reach`` along either axis. Holes and concave outlines count as they are.
-    Pairs are found by extents; outlines join them afterwards, by polygon.
+    Outlines of few vertices meet the points by place, in an Arrow kernel, and no pair is
+    shuffled. Long ones stay at home: their pairs are found by extents, and they join them afterwards, by polygon.
     """
-    extent = polygons.select(F.col(polygon_id).alias("poly_id"), R.bounds_struct(F.col(rings)).alias("extent"))
-    extent = extent.where("extent.minx IS NOT NULL").select("poly_id", "extent.*")
+    outlines = polygons.select(F.col(polygon_id).alias("poly_id"), F.col(rings).alias("rings"))
+    extent = outlines.withColumn("extent", R.bounds_struct(F.col("rings"))).where("extent.minx IS NOT NULL")
+    # worked out once, for the many jobs that place them
+    extent = materialise(extent.select("poly_id", "rings", "extent.*"), "outlines")
     own = points.select(F.col(point_id).alias("query_id"), F.col(x).alias("x"), F.col(y).alias("y"))
+    own = own.where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
+    vertices = F.aggregate("rings", F.lit(0), lambda n, ring: n + F.greatest(F.coalesce(F.size(ring), F.lit(0)), F.lit(0)))
+    ids = [F.col("query_id").alias(point_id), F.col("poly_id").alias(polygon_id)]
+    short = areas_by_place(own, extent.where(vertices <= SHORT), reach, figure)
+    long = areas_by_polygon(own, extent.where(vertices > SHORT), reach, figure)
+    return short.unionByName(long).select(*ids, "shared_m2")
+
+
+def areas_by_place(points: DataFrame, polygons: DataFrame, reach: float, figure: Callable[[Column, Column], Column]) -> DataFrame:
+    """``query_id, poly_id, shared_m2`` of points (query_id, x, y) and polygons (poly_id, rings, extent) of few vertices."""
+    left, right, keys = by_place(points, list_boxes(polygons, reach))
+    # figures are made where they are used: they would be most of what is shuffled
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = left.repartition(tasks, *keys).withColumn("figure", figure(F.col("x"), F.col("y")))
+    left = left.withColumns({c: F.col(c).cast("double") for c in "xy"})
+    schema = T.StructType([points.schema["query_id"], polygons.schema["poly_id"], T.StructField("shared_m2", T.DoubleType())])
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(areas_shared(reach), schema)
+
+
+def areas_by_polygon(points: DataFrame, polygons: DataFrame, reach: float, figure: Callable[[Column, Column], Column]) -> DataFrame:
+    """The same for polygons of any length."""
+    own, extent = points, polygons.drop("rings")
     met = cell_pairs(own, extent, intersects(box(), around_point(F.col("x"), F.col("y"), reach)), reach).drop(*BOX_FIELDS)
-    outlines = polygons.select(F.col(polygon_id).alias("poly_id"), F.col(rings).alias("rings"))
     area = intersection_area(figure(F.col("x"), F.col("y")), F.col("rings"))
     # outlines are wider than their source's file size tells: never broadcast by that estimate
-    return met.join(outlines.hint("merge"), "poly_id").select(
-        F.col("query_id").alias(point_id), F.col("poly_id").alias(polygon_id), area.alias("shared_m2")
-    )
+    outlines = polygons.select("poly_id", "rings").hint("merge")
+    return met.join(outlines, "poly_id").select("query_id", "poly_id", area.alias("shared_m2"))
