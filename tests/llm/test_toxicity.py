@@ -3,10 +3,12 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import rows_of, sentence
 from pyspark.sql import functions as F
 
+from parcelgrid import session
 from parcelgrid.llm import toxicity as X
 
 
@@ -147,3 +149,33 @@ def test_one_toxic_text_raises_the_score(data):
     marks = labels.select("doc_id", "toxic").unionByName(labels.limit(1).selectExpr("-1L AS doc_id", "1 AS toxic"))
     found = {r.doc_id: r.score for r in X.toxicity(docs.unionByName(once).unionByName(asked).unionByName(blank), marks).collect()}
     assert zlib.crc32(b"-1") % 3 != 1 and found[-7] > found[-8]
+
+
+@pytest.mark.parametrize("marks", [X.MARKS, 0])
+def test_beyond_the_broadcast_only_rare_tokens_are_shuffled(spark, data, monkeypatch, marks):
+    docs, labels = data
+    train = docs.join(labels.dropDuplicates(["doc_id"]), "doc_id").filter("toxic IN (0, 1)").select("text", "toxic")
+    texts = docs.select(F.col("doc_id").alias("id"), "text").union(spark.createDataFrame([(None, "you scum"), (-1, None), (-1, "")], "id long, text string"))
+    with session.intermediates(spark):
+        entries = X.model(train).cache()
+        want = sorted((str(r.id), r.value) for r in X.values(texts, entries).collect())
+        monkeypatch.setattr(X, "BROADCAST_ROWS", entries.count() // 2)
+        monkeypatch.setattr(X, "MARKS", marks)
+        since = len(session._written.paths)
+        got = sorted((str(r.id), r.value) for r in X.values(texts, entries).collect())
+        assert [i for i, _ in got] == [i for i, _ in want]
+        assert all(math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-12) for (_, a), (_, b) in zip(got, want))
+        written = session._written.paths[since:]
+        assert not any("/texts-" in path for path in written)
+        sums = spark.read.parquet(next(path for path in written if "/sums-" in path))
+        asked = sums.agg(F.sum(F.size("asked"))).first()[0]
+        words = sums.agg(F.sum("n")).first()[0]
+        # with the marks, hardly more than the occurrences of the rare half
+        assert 0 < asked and (marks == 0 or asked < 0.2 * 2 * words)
+        entries.unpersist()
+
+
+def test_counted_tokens_of_each_text():
+    owner, keys = np.array([1, 0, 1, 1, 0]), np.array([7, 5, 7, -2, 5])
+    assert [x.tolist() for x in X.counted(owner, keys, True)] == [[0, 1, 1], [5, -2, 7], [True] * 3, [2, 1, 2]]
+    assert [len(x) for x in X.counted(owner[:0], keys[:0], False)] == [0, 0, 0, 0]
