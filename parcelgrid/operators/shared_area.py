@@ -41,17 +41,22 @@ def shared_areas(
     Outlines of few vertices meet the points by place, in an Arrow kernel, and no pair is
     shuffled. Long ones stay at home: their pairs are found by extents, and they join them afterwards, by polygon.
     """
-    outlines = polygons.select(F.col(polygon_id).alias("poly_id"), F.col(rings).alias("rings"))
-    extent = outlines.withColumn("extent", R.bounds_struct(F.col("rings"))).where("extent.minx IS NOT NULL")
+    every = polygons.select(F.col(polygon_id).alias("poly_id"), F.col(rings).alias("rings"))
+    every = every.withColumn("extent", R.bounds_struct(F.col("rings"))).select("poly_id", "rings", "extent.*")
     # worked out once, for the many jobs that place them
-    extent = materialise(extent.select("poly_id", "rings", "extent.*"), "outlines")
+    every = materialise(every, "outlines")
+    extent = every.where("minx IS NOT NULL").drop("rings")
     own = points.select(F.col(point_id).alias("query_id"), F.col(x).alias("x"), F.col(y).alias("y"))
     own = own.where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
     vertices = F.aggregate("rings", F.lit(0), lambda n, ring: n + F.greatest(F.coalesce(F.size(ring), F.lit(0)), F.lit(0)))
+    is_short = F.coalesce(vertices <= SHORT, F.lit(False))
+    # outlines are wider than their source's file size tells: never broadcast by that estimate
+    outlines = every.select("poly_id", "rings").hint("merge")
+    short = areas_by_place(own, extent.join(outlines.where(is_short), "poly_id"), reach, figure)
+    long = outlines.where(~is_short)
+    extent = extent.join(long.select("poly_id").distinct().hint("merge"), "poly_id", "left_semi")
     ids = [F.col("query_id").alias(point_id), F.col("poly_id").alias(polygon_id)]
-    short = areas_by_place(own, extent.where(vertices <= SHORT), reach, figure)
-    long = areas_by_polygon(own, extent.where(vertices > SHORT), reach, figure)
-    return short.unionByName(long).select(*ids, "shared_m2")
+    return short.unionByName(areas_by_polygon(own, extent, long, reach, figure)).select(*ids, "shared_m2")
 
 
 def areas_by_place(points: DataFrame, polygons: DataFrame, reach: float, figure: Callable[[Column, Column], Column]) -> DataFrame:
@@ -65,11 +70,11 @@ def areas_by_place(points: DataFrame, polygons: DataFrame, reach: float, figure:
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(areas_shared(reach), schema)
 
 
-def areas_by_polygon(points: DataFrame, polygons: DataFrame, reach: float, figure: Callable[[Column, Column], Column]) -> DataFrame:
-    """The same for polygons of any length."""
-    own, extent = points, polygons.drop("rings")
-    met = cell_pairs(own, extent, intersects(box(), around_point(F.col("x"), F.col("y"), reach)), reach).drop(*BOX_FIELDS)
+def areas_by_polygon(
+    points: DataFrame, extent: DataFrame, outlines: DataFrame, reach: float, figure: Callable[[Column, Column], Column]
+) -> DataFrame:
+    """The same for outlines (poly_id, rings) of any length, apart from their extents (poly_id, sides)."""
+    near = intersects(box(), around_point(F.col("x"), F.col("y"), reach))
+    met = cell_pairs(points, extent, near, reach).drop(*BOX_FIELDS)
     area = intersection_area(figure(F.col("x"), F.col("y")), F.col("rings"))
-    # outlines are wider than their source's file size tells: never broadcast by that estimate
-    outlines = polygons.select("poly_id", "rings").hint("merge")
-    return met.join(outlines, "poly_id").select("query_id", "poly_id", area.alias("shared_m2"))
+    return met.join(outlines.hint("merge"), "poly_id").select("query_id", "poly_id", area.alias("shared_m2"))

@@ -382,6 +382,9 @@ def test_shared_areas_by_place_and_by_polygon(spark, monkeypatch, pairs):
     assert {k for k, v in want.items() if v > 1e-9} <= set(found) <= set(want) and (None, 0) in found
     assert all(v == pytest.approx(want[k], abs=1e-9) for k, v in found.items())
     assert any(i == 20 and v > 1 for (_, i), v in found.items())
+    # ids that come twice give each extent with each outline, as a join by id does
+    twice = shared_areas(points, df.union(df), 2.5, figure).groupBy("query_id", "field_id").count().collect()
+    assert {(r[0], r[1]) for r in twice} == set(found) and {r[2] for r in twice} == {4}
     extent = df.where("field_id < 20").withColumn("extent", R.bounds_struct(F.col("rings"))).select(F.col("field_id").alias("poly_id"), "rings", "extent.*")
     plan = plan_of(areas_by_place(points.where("x > 0"), extent, 2.5, figure))
     assert "FlatMapCoGroupsInArrow" in plan and (pairs or "Join" not in plan)
